@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarin.llm import ledger, lookalike, ranking, repetition, splits
+from tamarin.llm import leakage, ledger, lookalike, ranking, repetition, splits
 from tamarin.plans.durable import durable, shared_dir
 
 
@@ -81,6 +81,10 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetitive(stats, "id", repetition.fit(stats, "id"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "heldout_items"), "item_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_growth": p4_growth,
     "p6_found": p6_found,
     "p6_share": p6_share,
+    "p8_found": p8_found,
 }
 
 ORACLES: dict[str, str] = {}

@@ -3,38 +3,66 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 
+WORD = re.compile(r"[^\W_]+")
+TAG = re.compile(r"<[^<>]{0,200}>")
+TIME = re.compile(r"(?<!\d)\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?(?!\d)")
 
-def _ignorable_class() -> str:
-    """A character class of all combining marks and all characters that show nothing, derived from the Unicode tables."""
-    spans: list[list[int]] = []
-    for c in range(0x80, sys.maxunicode + 1):
-        if unicodedata.category(chr(c)) in ("Mn", "Me", "Cf"):
-            if spans and spans[-1][1] == c - 1:
-                spans[-1][1] = c
-            else:
-                spans.append([c, c])
-    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in spans) + "]"
 
+class _Ignorable(dict):
+    """Whether a character is a combining mark or shows nothing."""
 
-IGNORED = re.compile(_ignorable_class())
-WORD = re.compile(r"[^\W_]+")
-MARKUP = re.compile(r"<[^<>]{0,200}>|[\[(]?\b\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?\b[\])]?")
-#: For texts that are ASCII once the accents are gone: every byte that is no letter or digit becomes a space.
-_ASCII = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
+    def __missing__(self, ch: str) -> bool:
+        self[ch] = out = unicodedata.category(ch) in ("Mn", "Me", "Cf")
+        return out
+
+
+IGNORABLE = _Ignorable()
+
+
+def _folded(text: str) -> str:
+    """``text`` without case, marks and invisible characters."""
+    text = text.casefold()
+    if text.isascii():
+        return text
+    text = unicodedata.normalize("NFKD", text)
+    odd = [ch for ch in set(text) if ch > "\x7f"]
+    for ch in [ch for ch in odd if not IGNORABLE[ch] and not ch.isalnum()]:
+        text = text.replace(ch, " ")
+        odd.remove(ch)
+    if all(map(IGNORABLE.__getitem__, odd)):
+        return text.encode("ascii", "ignore").decode()
+    return text.translate({ord(ch): None for ch in odd if IGNORABLE[ch]})
+
+
+def _byte(c: int) -> int:
+    """The plain form of a Latin-1 character: a letter or digit, 32 for a separator, 0 where it is none of a single byte."""
+    x = _folded(chr(c))
+    return 32 if not any(map(str.isalnum, x)) else ord(x) if len(x) == 1 and x.isascii() else 0
+
+
+#: For Latin-1 texts, each byte's plain form, the bytes that show nothing, and those that need the general way.
+_PLAIN = bytes(_byte(c) or 32 for c in range(256))
+_NOTHING = bytes(c for c in range(256) if IGNORABLE[chr(c)])
+_GENERAL = bytes(c for c in range(256) if not _byte(c))
 
 
 def plain_words(text: str | None, markup: bool = False) -> list[bytes]:
     """The plain words of ``text`` as UTF-8 bytes; with ``markup``, tags and time marks do not count. Null gives no words."""
     if not text:
         return []
-    text = text.casefold()
-    if not text.isascii():
-        text = IGNORED.sub("", unicodedata.normalize("NFKD", text))
     if markup and ("<" in text or ":" in text):
-        text = MARKUP.sub(" ", text)
+        if not text.isascii():
+            text = "".join(ch for ch in text if not IGNORABLE[ch]) if any(IGNORABLE[ch] for ch in set(text)) else text
+        text = TIME.sub(" ", TAG.sub(" ", text))
+    try:
+        raw = text.encode("latin-1")
+        if len(raw.translate(None, _GENERAL)) == len(raw):
+            return raw.translate(_PLAIN, _NOTHING).split()
+    except UnicodeEncodeError:
+        pass
+    text = _folded(text)
     if text.isascii():
-        return text.encode().translate(_ASCII).split()
+        return text.encode().translate(_PLAIN).split()
     return [w.encode() for w in WORD.findall(text)]
