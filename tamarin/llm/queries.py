@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarin.llm import leakage, ledger, lookalike, ranking, repetition, splits
+from tamarin.llm import language, leakage, ledger, lookalike, packing, ranking, repetition, splits
 from tamarin.plans.durable import durable, shared_dir
 
 
@@ -65,6 +65,26 @@ def p4_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.grow_sample(df, "c", path, total=300, seed="segments").select("c", "generation")
 
 
+def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``segment_index`` with stretches, labelled by the example and held-out texts."""
+    df = _table(spark, sf_dir, "segment_index")
+    given = _table(spark, sf_dir, "subject_examples").select("lang", "text").unionByName(_table(spark, sf_dir, "heldout_items").select("lang", "text"))
+    texts, names = language.labelled_text(given.withColumn("lang", F.lower(F.trim("lang"))), df.select(F.col("t").alias("text")))
+    return language.language_stretches(df.select("c", "t", "m").distinct(), "t", texts, names)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reads = F.regexp_replace(F.lower(F.translate("m", "Çç\u0327", "cc")), r"[^a-z]", "")
+    says = F.when(reads == "francais", F.array(F.lit("fr"))).when(F.col("m") == "", F.array(F.lit("gcf"), F.lit("ht")))
+    return language.misstated(_languages(spark, sf_dir), "c", "m", says)
+
+
+def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every one-language stretch of every segment with its confidence."""
+    df = _languages(spark, sf_dir).select("c", "t", F.posexplode("stretches").alias("stretch", "s"))
+    return df.select("c", "t", "stretch", "s.lang", F.col("s.first").alias("first_word"), F.col("s.words").alias("n_words"), F.round("s.confidence", 4).alias("confidence")).distinct()
+
+
 def _repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(_table(spark, sf_dir, "dataset_corrected"), "id", "whisper_ht")
 
@@ -81,6 +101,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetitive(stats, "id", repetition.fit(stats, "id"))
 
 
+def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their containers."""
+    return packing.pack(packing.token_counts(_table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id")
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "heldout_items"), "item_id", "text")
 
@@ -93,8 +118,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_report": p3_report,
     "p4_sample": p4_sample,
     "p4_growth": p4_growth,
+    "p5_found": p5_found,
+    "p5_stretches": p5_stretches,
     "p6_found": p6_found,
     "p6_share": p6_share,
+    "p7_pack": p7_pack,
     "p8_found": p8_found,
 }
 
