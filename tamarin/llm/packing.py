@@ -27,8 +27,8 @@ CAPACITY = 2048
 #: Vocabulary file of a public tokenizer and the pattern it splits by (fixed value).
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Buckets that the texts of one length are ranked in.
-BUCKETS = 64
+#: Texts that one hash bucket of a length is meant for, and the buckets of a length at least and at most.
+PER_BUCKET, BUCKETS = 2_000_000, (16, 4096)
 
 _ENCODERS: dict = {}
 
@@ -111,36 +111,40 @@ def _slots(plan: list[tuple[dict[int, int], int]], base: int) -> list[tuple[int,
 def pack(lengths: DataFrame, key: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: ``<key>, piece INT, tokens INT, container LONG``.
 
-    ``lengths``: ``<key>, tokens``. Every row of it is packed, also rows of equal keys. Texts without tokens come out with a null
-    container. Only texts above the capacity have more than one piece: full containers of their own, then the remainder. Container
-    numbers of the packed pieces run from 0; those of full pieces are negative and unique per row. An empty table gives no rows.
+    ``lengths``: ``<key>, tokens``. Every row of it is packed, also rows of equal or null keys. Texts without tokens come out with a
+    null container. Only texts above the capacity have more than one piece: full containers of their own, then the remainder.
+    Container numbers run from 0 without gaps, shared ones first. An empty table gives no rows.
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
-    size = F.coalesce(F.col("tokens"), F.lit(0)).cast("int")
-    rows = lengths.select(F.col(key).alias("key"), size.alias("tokens"))
-    # copies of one key and length are told apart by a number, so that ranks are well defined
-    rows = durable(rows, "lengths")
-    rest = F.when(F.col("tokens") > capacity, F.col("tokens") % capacity).otherwise(F.col("tokens"))
-    items = rows.select("key", "tokens", rest.alias("size"), F.floor(F.col("tokens") / capacity).cast("int").alias("full")).where("size > 0").withColumn("bucket", F.pmod(F.xxhash64("key", "tokens"), F.lit(BUCKETS)).cast("int"))
-    per = items.groupBy("size", "bucket").agg(F.count("*").alias("n")).collect()  # at most capacity * BUCKETS rows
-    histogram: Counter = Counter()
-    offsets = []
-    for r in sorted(per):
-        offsets.append((r["size"], r["bucket"], histogram[r["size"]]))
-        histogram[r["size"]] += r["n"]
     spark = lengths.sparkSession
-    slots = _slots(plan_fillings(histogram, capacity), 0)
-    at = spark.createDataFrame(offsets, "size int, bucket int, before long")
-    slot = spark.createDataFrame(slots, "size int, first long, last long, container long, per int")
-    rank = F.row_number().over(Window.partitionBy("size", "bucket").orderBy("key", "tokens")) - 1
-    ranked = items.withColumn("rank", rank).join(F.broadcast(at), ["size", "bucket"]).withColumn("rank", F.col("rank") + F.col("before"))
-    last = ranked.join(F.broadcast(slot), (ranked["size"] == slot["size"]) & ranked["rank"].between(slot["first"], slot["last"])).select(
-        "key", F.when(F.col("tokens") > capacity, F.col("full")).otherwise(0).alias("piece"), ranked["size"].alias("tokens"), (F.col("container") + F.floor((F.col("rank") - F.col("first")) / F.col("per"))).alias("container")
+    rows = durable(lengths.select(F.col(key).alias("key"), F.coalesce(F.col("tokens"), F.lit(0)).cast("int").alias("tokens")), "lengths")
+    buckets = min(BUCKETS[1], max(BUCKETS[0], -(-rows.count() // PER_BUCKET)))
+    items = rows.where("tokens > 0").select(
+        "key", "tokens",
+        F.when(F.col("tokens") > capacity, F.col("tokens") % capacity).otherwise(F.col("tokens")).alias("size"),
+        F.when(F.col("tokens") > capacity, F.floor(F.col("tokens") / capacity)).otherwise(0).cast("long").alias("full"),
+        F.pmod(F.xxhash64("key", "tokens"), F.lit(buckets)).cast("int").alias("bucket"),
+    )
+    groups = durable(items.groupBy("size", "bucket").agg(F.count("*").alias("n"), F.sum("full").alias("f")), "length-groups")
+    sums = groups.groupBy("size").agg(F.sum("n").alias("n"), F.sum("f").alias("f")).collect()  # one row per length, at most the capacity
+    slots = _slots(plan_fillings({r["size"]: r["n"] for r in sums if r["size"]}, capacity), 0)
+    base, bases = max((c + (b - a) // n + 1 for _, a, b, c, n in slots), default=0), []
+    for r in sorted(sums):
+        bases.append((r["size"], base))
+        base += r["f"]
+    before = Window.partitionBy("size").orderBy("bucket")
+    offsets = groups.select("size", "bucket", (F.sum("n").over(before) - F.col("n")).alias("n_before"), (F.sum("f").over(before) - F.col("f")).alias("f_before"))
+    own = Window.partitionBy("size", "bucket").orderBy("key", "tokens")
+    ranked = items.withColumn("rank", F.row_number().over(own) - 1).withColumn("f_rank", F.sum("full").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("full"))
+    ranked = ranked.join(offsets, ["size", "bucket"]).join(F.broadcast(spark.createDataFrame(bases, "size int, base long")), "size").select(
+        "key", "size", "full", (F.col("rank") + F.col("n_before")).alias("rank"), (F.col("base") + F.col("f_before") + F.col("f_rank")).alias("first_full")
     )
-    long = rows.where(F.col("tokens") > capacity).withColumn("row", F.monotonically_increasing_id())
-    pieces = long.select("key", "tokens", "row", F.explode(F.sequence(F.lit(0), F.floor(F.col("tokens") / capacity).cast("int") - 1)).alias("piece"))
-    # numbers of full containers: -1 - (row number in its partition and partition, piece) without a shuffle
-    full = pieces.select("key", "piece", F.lit(capacity).alias("tokens"), (-1 - F.pmod(F.xxhash64("row", "key", "piece"), F.lit(2**62))).alias("container"))
+    # one row per length and filling: bounded by the capacity, not by the texts
+    slot = F.broadcast(spark.createDataFrame(slots, "size int, low long, high long, first long, per long"))
+    shared = ranked.where("size > 0").join(slot, "size").where("rank between low and high").select(
+        "key", F.col("full").cast("int").alias("piece"), F.col("size").alias("tokens"), (F.col("first") + F.floor((F.col("rank") - F.col("low")) / F.col("per"))).alias("container")
+    )
+    alone = ranked.where("full > 0").select("key", "first_full", F.explode(F.sequence(F.lit(0), F.col("full").cast("int") - 1)).alias("piece")).select("key", "piece", F.lit(capacity).alias("tokens"), (F.col("first_full") + F.col("piece")).alias("container"))
     none = rows.where("tokens = 0").select("key", F.lit(0).alias("piece"), "tokens", F.lit(None).cast("long").alias("container"))
-    return last.unionByName(full).unionByName(none).withColumnRenamed("key", key)
+    return shared.unionByName(alone).unionByName(none).withColumnRenamed("key", key)
