@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarin.llm import language, leakage, ledger, lookalike, packing, ranking, repetition, splits
+from tamarin.llm import language, leakage, ledger, lookalike, packing, ranking, repetition, splits, subjects
 from tamarin.plans.durable import durable, shared_dir
 
 
@@ -110,6 +110,20 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "heldout_items"), "item_id", "text")
 
 
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.document_subjects(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "subject_examples"), "subject", "lang", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _subjects(spark, sf_dir).where(F.col("doc_id").isNotNull())
+    return df.select("doc_id", F.explode("subjects").alias("subject")).distinct()
+
+
+def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the subjects it treats, several, one or none."""
+    return _subjects(spark, sf_dir).select("doc_id", "n_sentences", "subjects")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
@@ -124,6 +138,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_share": p6_share,
     "p7_pack": p7_pack,
     "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_subjects": p9_subjects,
 }
 
 ORACLES: dict[str, str] = {}
