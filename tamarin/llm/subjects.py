@@ -42,6 +42,8 @@ NEAR, CLEAR = 0.5, 0.1
 PRIOR, FLOOR = (0.1, 0.003), 0.6
 #: A document treats a subject if so large a part of its sentences does.
 SHARE = 0.25
+#: Documents a task works on at once.
+CHUNK = 1000
 #: Blocks a summed matrix travels in.
 BLOCKS = 64
 
@@ -101,7 +103,8 @@ def _summed(docs: DataFrame, shape: tuple[int, ...], add: Callable[[np.ndarray,
     def part(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
         for batch in batches:
-            add(total, batch.column(0))
+            for a in range(0, batch.num_rows, CHUNK):
+                add(total, batch.column(0).slice(a, CHUNK))
         flat = total.ravel()
         data = [flat[b * edge : (b + 1) * edge].tobytes() for b in range(BLOCKS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array(data, pa.binary())], ["block", "data"])
@@ -181,7 +184,9 @@ class Model:
         e = self.embed(word, weight * self.idf[word], sent, n)
         peak = np.zeros(n)
         np.maximum.at(peak, sent, weight)
-        near = np.einsum("ik,isk->is", _unit(e), _unit(self.centroids)[lang], optimize=True)
+        unit, near = _unit(e), np.zeros((n, len(self.subjects)))
+        for x, c in enumerate(_unit(self.centroids)):
+            near[lang == x] = unit[lang == x] @ c.T
         return lang, e, near, (peak >= self.floor[lang]) & (peak > 0)
 
 
@@ -260,7 +265,7 @@ def assign(docs: DataFrame, model: Model) -> DataFrame:
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(a, CHUNK) for b in batches for a in range(0, b.num_rows, CHUNK)):
             word, sent, of = _flat(batch.column(1))
             n, k = batch.num_rows, len(model.subjects)
             _, _, near, heavy = model.read(word, sent, len(of)) if len(of) else (0, 0, np.zeros((0, k)), np.zeros(0, bool))
