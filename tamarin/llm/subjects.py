@@ -40,6 +40,8 @@ NEAR, CLEAR = 0.5, 0.1
 #: Sentences of a subject that a term is taken to have had before any count: at least the first, or the second part of the subject's
 #: mean sentences in the language. A sentence treats nothing whose heaviest term weighs less than FLOOR of a typical subject word.
 PRIOR, FLOOR = (0.1, 0.003), 0.6
+#: Terms that tell the subjects apart by less than this have no weight.
+LEAST = 0.03
 #: A document treats a subject if so large a part of its sentences does.
 SHARE = 0.25
 #: Documents a task works on at once.
@@ -170,26 +172,36 @@ class Model:
     centroids: np.ndarray
     floor: np.ndarray
 
-    def embed(self, word: np.ndarray, weight: np.ndarray, sent: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros((n, self.vectors.shape[1]))
-        if len(word):
-            start = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1]])
-            out[sent[start]] = np.add.reduceat(self.vectors[word] * weight[:, None], start)
-        return out
+    def __post_init__(self) -> None:
+        self.vectors = self.vectors.astype(np.float32)
+        #: Each term's share in the likeness of a sentence to each language: likenesses add up, so no embedding is needed.
+        self.tells = ((self.vectors * self.idf[:, None]) @ self.language.T).astype(np.float32)
+        self.weight = (self.spread * self.idf[:, None]).astype(np.float32)
 
     def read(self, word: np.ndarray, sent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of ``n`` sentences: language, embedding, cosine with each subject, and whether a term is heavy enough."""
-        lang = (_unit(self.embed(word, self.idf[word], sent, n)) @ self.language.T).argmax(1)
-        weight = self.spread[word, lang[sent]]
-        e = self.embed(word, weight * self.idf[word], sent, n)
+        lang = _added(self.tells[word], sent, n).argmax(1)
+        spread = self.spread[word, lang[sent]]
         peak = np.zeros(n)
-        np.maximum.at(peak, sent, weight)
-        unit, near = _unit(e), np.zeros((n, len(self.subjects)))
-        for x, c in enumerate(_unit(self.centroids)):
+        np.maximum.at(peak, sent, spread)
+        some = np.flatnonzero(spread)  # terms of no weight add nothing
+        word, sent = word[some], sent[some]
+        e = _added(self.vectors[word] * self.weight[word, lang[sent]][:, None], sent, n)
+        unit, near = _unit(e), np.zeros((n, len(self.subjects)), np.float32)
+        for x, c in enumerate(_unit(self.centroids).astype(np.float32)):
             near[lang == x] = unit[lang == x] @ c.T
         return lang, e, near, (peak >= self.floor[lang]) & (peak > 0)
 
 
+def _added(rows: np.ndarray, sent: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows of each sentence; ``sent`` ascends."""
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    if len(rows):
+        start = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1]])
+        out[sent[start]] = np.add.reduceat(rows, start)
+    return out
+
+
 def _spreads(counts: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """From terms x subjects x languages sentence counts and subjects x languages totals: the spread weight of each term in each
     language, and the floor of each language, half the weight of its typical subject word."""
@@ -201,7 +213,7 @@ def _spreads(counts: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarr
     p /= p.sum(1, keepdims=True)
     weight = 1 + (p * np.log(p)).sum(1) / math.log(max(2, subjects))
     weight[counts.sum(1) == 0] = 0
-    weight = np.maximum(weight, 0)
+    weight[weight < LEAST] = 0
     main = p.argmax(1)
     floor = np.ones(counts.shape[2])
     for x in range(counts.shape[2]):
