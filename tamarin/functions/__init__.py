@@ -1 +1 @@
-
+"""Column functions: text, metrics and scores."""
