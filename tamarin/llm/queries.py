@@ -142,4 +142,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_subjects": p9_subjects,
 }
 
-ORACLES: dict[str, str] = {}
+_RANKS = """with d as (select distinct id, -avg_logprob as a, compression_ratio as b, perplexite_lm as c, no_speech_prob as e from dataset_corrected),
+r as (select id, a, b, c, e,
+ list_filter([{good}], lambda x: x is not null) as good, list_filter([{bad}], lambda x: x is not null) as bad from d),
+t as (select *, len(good) as m, list_sort(good) as g, list_sort(bad) as h from r),
+s as (select *, {rg} as rho, {rb} as rho_bad from t where m > 0),
+k as (select *, round(ln(rho) - ln(rho_bad), 9) as key from s)
+select id, m::int as n_scores, round(least(1.0, rho), 6) as rho, rank() over (order by key) as place from k union all select id, 0, null, null from t where m = 0"""
+
+
+def _rank_sql() -> str:
+    share = "case when {c} is not null then (count({c}) over (order by {c} {d} range between unbounded preceding and current row) - (count({c}) over (partition by {c}) - 1) / 2) / count({c}) over () end"
+    choose = ((1, 1), (1, 2, 1), (1, 3, 3, 1), (1, 4, 6, 4, 1))
+
+    def tail(r: str, m: int) -> str:
+        ks = range(min(2, m), m + 1)
+        tails = ", ".join(" + ".join(f"{choose[m - 1][j]} * pow({r}[{k}], {j}) * pow(1 - {r}[{k}], {m - j})" for j in range(k, m + 1)) for k in ks)
+        return f"least({tails}) * {len(ks)}" if len(ks) > 1 else f"({tails})"
+
+    by = lambda r: "case m " + " ".join(f"when {m} then {tail(r, m)}" for m in range(1, 5)) + " end"
+    return _RANKS.format(good=", ".join(share.format(c=c, d="asc nulls last") for c in "abce"), bad=", ".join(share.format(c=c, d="desc nulls last") for c in "abce"), rg=by("g"), rb=by("h"))
+
+
+_BITS = "('0x' || substr(md5('segments:' || c), 1, 13))::bigint"
+_WORDS = "regexp_extract_all(strip_accents(lower(regexp_replace(coalesce(whisper_ht, ''), '[\\x{ad}\\x{34f}\\x{200b}-\\x{200f}\\x{2060}\\x{feff}]', '', 'g'))), '[\\p{L}\\p{N}]+')"
+_REPEATS = f"""with w as (select distinct id, {_WORDS} as w from dataset_corrected),
+t as (select id, w, len(w) as n, list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) as t from w),
+s as (select id, w, n, list_transform(range(1, len(t) + 1), lambda i: list_position(t, t[i]) < i) as again from t),
+r as (select id, n, len(list_filter(range(1, n + 1), lambda i: coalesce(again[i], false) or (i > 1 and coalesce(again[i - 1], false)) or (i > 2 and coalesce(again[i - 2], false)) or (i > 1 and w[i] = w[i - 1]))) as repeats from s)"""
+
+ORACLES: dict[str, str] = {
+    "p2_ranking": _rank_sql(),
+    "p4_sample": f"select c, {_BITS} / 4503599627370496.0 as priority from (select distinct c from segment_index where c is not null) where {_BITS} < floor(0.1 * 4503599627370496)",
+    "p4_growth": f"""with k as (select c, {_BITS} as b from (select distinct c from segment_index where c is not null)), one as (select c from k where contains(c, '/lot-b/') order by b, c limit 100)
+select c, 0 as generation from one union all select c, 1 from (select c from k where c not in (select c from one) order by b, c limit 300 - (select count(*) from one))""",
+    "p6_found": _REPEATS + " select distinct id from r where n >= 6 and repeats * 10 >= n * 3",
+}

@@ -6,48 +6,20 @@ for the number of order statistics tried, is the significance the items are rank
 out, so one extreme score alone never lifts an item. Items that are not significantly good are ordered by how significantly bad
 they are, by the same test on the reversed ranks.
 
-No window spans the table: equal values are counted first, values fall into buckets between approximate quantiles, ranks are
-running counts inside a bucket plus the bucket's offset. Values held by many rows reach their rows by a broadcast of at most
-``HOT`` values a score, all others by a shuffled join.
+No window spans the table: ranks come from value counts (``tamarin.operators.ranks``). Values held by many rows reach their rows by
+a bounded broadcast, all others by a shuffled join.
 """
 
 from __future__ import annotations
 
 from math import comb
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamarin.operators.ranks import value_ranks, with_ranks
 from tamarin.plans.durable import durable
 
-#: Cut points between buckets of one score.
-CUTS = 255
-#: A value is hot that holds at least one in HOT of a score's rows; there are at most HOT.
-HOT = 200
-
-
-def value_ranks(values: DataFrame) -> DataFrame:
-    """``values(name STRING, v DOUBLE)`` without nulls to one row per distinct value: ``name, v, n, less, total``, where ``less``
-    counts the rows with a smaller value of that name and ``n`` those with this one."""
-    freq = values.groupBy("name", "v").agg(F.count("*").alias("n"))
-    freq = durable(freq, "value-counts")
-    cuts = freq.groupBy("name").agg(F.percentile_approx("v", [(i + 1) / (CUTS + 1) for i in range(CUTS)], 10_000).alias("cuts"))
-    placed = freq.join(F.broadcast(cuts), "name").withColumn("bucket", F.size(F.filter("cuts", lambda c: c < F.col("v")))).drop("cuts")
-    sums = placed.groupBy("name", "bucket").agg(F.sum("n").alias("m"))  # at most CUTS + 1 rows a name
-    by = Window.partitionBy("name").orderBy("bucket")
-    offsets = sums.select("name", "bucket", (F.sum("m").over(by) - F.col("m")).alias("before"), F.sum("m").over(Window.partitionBy("name")).alias("total"))
-    run = F.sum("n").over(Window.partitionBy("name", "bucket").orderBy("v"))
-    return placed.withColumn("run", run).join(F.broadcast(offsets), ["name", "bucket"]).select("name", "v", "n", (F.col("before") + F.col("run") - F.col("n")).alias("less"), "total")
-
-
-def with_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
-    """``rows`` (with ``name, v``) joined to ``ranks``; hot values by a bounded broadcast, the rest by their hash."""
-    hot = ranks.where(F.col("n") * HOT >= F.col("total")).select("name", "v", F.struct("n", "less", "total").alias("hot"))
-    near = rows.join(F.broadcast(hot), ["name", "v"], "left")
-    cold = near.where("hot is null").drop("hot").join(ranks, ["name", "v"])
-    return near.where("hot is not null").select(*rows.columns, "hot.n", "hot.less", "hot.total").unionByName(cold)
-
-
 def _tail(r: Column, k: Column, m: Column, most: int) -> Column:
     """P(at least k of m uniform values are <= r), for m up to ``most``."""
     choose = F.array(*(F.array(*(F.lit(float(comb(i, j))) for j in range(most + 1))) for i in range(most + 1)))
