@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarin.llm.words import plain_words
+from tamarin.llm.words import plain_parts, plain_words
 from tamarin.plans.durable import durable
 
 #: Terms of the model: those of most documents, each in at least MIN_DOCS.
@@ -54,7 +54,7 @@ SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+|</p>|(?<=[.!?…])(?=[\[<])")
 
 def sentences(text: str | None) -> list[list[bytes]]:
     """The plain words of each sentence that has any; tags and time marks are no words."""
-    return [w for s in SENTENCE.split(text) if (w := plain_words(s, markup=True))] if text else []
+    return plain_parts(text, SENTENCE)
 
 
 def vocabulary(documents: DataFrame, text: str) -> tuple[list[str], np.ndarray, int]:
@@ -85,13 +85,19 @@ def _counts(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
+def _positions(at: dict[bytes, int], words: list[bytes]) -> list[int]:
+    found = set(map(at.get, words))
+    found.discard(None)
+    return sorted(found)
+
+
 def coded(documents: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
     """``key, s ARRAY<ARRAY<INT>>``: the distinct terms of every sentence, as positions in ``terms``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = {w.encode(): i for i, w in enumerate(terms)}
         for batch in batches:
-            out = [[sorted({at[w] for w in s if w in at}) for s in sentences(t)] for t in batch.column(1).to_pylist()]
+            out = [[_positions(at, s) for s in sentences(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.list_(pa.int32())))], ["key", "s"])
 
     return durable(documents.select(F.col(key).alias("key"), text).mapInArrow(run, f"key {dict(documents.dtypes)[key]}, s array<array<int>>"), "coded")
@@ -180,7 +186,7 @@ class Model:
 
     def read(self, word: np.ndarray, sent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of ``n`` sentences: language, embedding, cosine with each subject, and whether a term is heavy enough."""
-        lang = _added(self.tells[word], sent, n).argmax(1)
+        lang = np.stack([np.bincount(sent, self.tells[word, x], n) for x in range(self.tells.shape[1])], 1).argmax(1)
         spread = self.spread[word, lang[sent]]
         peak = np.zeros(n)
         np.maximum.at(peak, sent, spread)
@@ -233,7 +239,7 @@ def fit(documents: DataFrame, key: str, text: str, examples: list[tuple[str, str
     vectors = term_vectors(docs, idf) if len(terms) else np.zeros((0, 1))
     rank, shape = vectors.shape[1], (len(terms), len(subjects), len(langs))
 
-    seeds = [(subjects.index(s), langs.index(x), sorted({at[w] for w in sent if w in at})) for s, x, t in examples for sent in sentences(t)]
+    seeds = [(subjects.index(s), langs.index(x), _positions(at, sent)) for s, x, t in examples for sent in sentences(t)]
     seeds = [(s, x, np.array(w)) for s, x, w in seeds if w]
     counts, mass, language = np.zeros(shape), np.zeros(shape[1:]), np.zeros((len(langs), rank))
     for s, x, w in seeds:
@@ -306,7 +312,10 @@ def document_subjects(documents: DataFrame, key: str, text: str, examples: DataF
     """
     rows = examples.select(F.col(subject).alias("s"), F.lower(F.trim(F.col(lang))).alias("l"), F.col(example_text).alias("t")).where("s is not null and l is not null and t is not null").distinct()
     given = [(r["s"], r["l"], r["t"]) for r in rows.orderBy(F.xxhash64("s", "l", "t"), "s", "l", "t").limit(EXAMPLES).collect()]
-    model, docs = fit(documents, key, text, given)
-    out = assign(docs, model)
+    if given:
+        model, docs = fit(documents, key, text, given)
+        out = assign(docs, model)
+    else:
+        out = coded(documents, key, text, []).select("key", F.size("s").alias("n_sentences"), F.create_map().cast("map<string,double>").alias("shares"))
     treated = F.array_sort(F.map_keys(F.map_filter("shares", lambda _, v: v >= SHARE)))
     return out.select(F.col("key").alias(key), "n_sentences", "shares", treated.alias("subjects"))

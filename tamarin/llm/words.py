@@ -48,21 +48,49 @@ _NOTHING = bytes(c for c in range(256) if IGNORABLE[chr(c)])
 _GENERAL = bytes(c for c in range(256) if not _byte(c))
 
 
-def plain_words(text: str | None, markup: bool = False) -> list[bytes]:
-    """The plain words of ``text`` as UTF-8 bytes; with ``markup``, tags and time marks do not count. Null gives no words."""
-    if not text:
-        return []
-    if markup and ("<" in text or ":" in text):
-        if not text.isascii():
-            text = "".join(ch for ch in text if not IGNORABLE[ch]) if any(IGNORABLE[ch] for ch in set(text)) else text
-        text = TIME.sub(" ", TAG.sub(" ", text))
+#: Stands between parts of a text that are normalised together.
+BREAK = "\x01"
+_PLAIN_PARTS = _PLAIN[:1] + BREAK.encode() + _PLAIN[2:]
+
+
+def _without_markup(text: str) -> str:
+    if "<" not in text and ":" not in text:
+        return text
+    if not text.isascii() and any(IGNORABLE[ch] for ch in set(text)):
+        text = "".join(ch for ch in text if not IGNORABLE[ch])
+    return TIME.sub(" ", TAG.sub(" ", text))
+
+
+def _plain_bytes(text: str, table: bytes) -> bytes | None:
+    """The text with separators as spaces, or None if words are left that are not ASCII."""
     try:
         raw = text.encode("latin-1")
         if len(raw.translate(None, _GENERAL)) == len(raw):
-            return raw.translate(_PLAIN, _NOTHING).split()
+            return raw.translate(table, _NOTHING)
     except UnicodeEncodeError:
         pass
     text = _folded(text)
-    if text.isascii():
-        return text.encode().translate(_PLAIN).split()
-    return [w.encode() for w in WORD.findall(text)]
+    return text.encode().translate(table) if text.isascii() else None
+
+
+def plain_words(text: str | None, markup: bool = False) -> list[bytes]:
+    """The plain words of ``text`` as UTF-8 bytes; with ``markup``, tags and time marks do not count. Null gives no words."""
+    if not text:
+        return []
+    if markup:
+        text = _without_markup(text)
+    raw = _plain_bytes(text, _PLAIN)
+    return [w.encode() for w in WORD.findall(_folded(text))] if raw is None else raw.split()
+
+
+def plain_parts(text: str | None, boundary: re.Pattern) -> list[list[bytes]]:
+    """``plain_words`` with ``markup`` of each part of ``text`` between matches of ``boundary``; parts without words go."""
+    if not text:
+        return []
+    text = _without_markup(boundary.sub(BREAK, text.replace(BREAK, " ")))
+    raw = _plain_bytes(text, _PLAIN_PARTS)
+    if raw is None:
+        parts = ([w.encode() for w in WORD.findall(t)] for t in _folded(text).split(BREAK))
+    else:
+        parts = (t.split() for t in raw.split(b"\x01"))
+    return [p for p in parts if p]
