@@ -184,19 +184,19 @@ class Model:
         self.tells = ((self.vectors * self.idf[:, None]) @ self.language.T).astype(np.float32)
         self.weight = (self.spread * self.idf[:, None]).astype(np.float32)
 
-    def read(self, word: np.ndarray, sent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of ``n`` sentences: language, embedding, cosine with each subject, and whether a term is heavy enough."""
+    def read(self, word: np.ndarray, sent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of ``n`` sentences: language, cosine with each subject, and whether a term is heavy enough; the cosines of a sentence
+        without such a term are 0."""
         lang = np.stack([np.bincount(sent, self.tells[word, x], n) for x in range(self.tells.shape[1])], 1).argmax(1)
         spread = self.spread[word, lang[sent]]
-        peak = np.zeros(n)
-        np.maximum.at(peak, sent, spread)
-        some = np.flatnonzero(spread)  # terms of no weight add nothing
+        heavy = np.zeros(n, bool)
+        heavy[sent[(spread > 0) & (spread >= self.floor[lang[sent]])]] = True
+        some = np.flatnonzero((spread > 0) & heavy[sent])  # terms of no weight add nothing
         word, sent = word[some], sent[some]
-        e = _added(self.vectors[word] * self.weight[word, lang[sent]][:, None], sent, n)
-        unit, near = _unit(e), np.zeros((n, len(self.subjects)), np.float32)
+        unit, near = _unit(_added(self.vectors[word] * self.weight[word, lang[sent]][:, None], sent, n)), np.zeros((n, len(self.subjects)), np.float32)
         for x, c in enumerate(_unit(self.centroids).astype(np.float32)):
             near[lang == x] = unit[lang == x] @ c.T
-        return lang, e, near, (peak >= self.floor[lang]) & (peak > 0)
+        return lang, near, heavy
 
 
 def _added(rows: np.ndarray, sent: np.ndarray, n: int) -> np.ndarray:
@@ -254,19 +254,20 @@ def fit(documents: DataFrame, key: str, text: str, examples: list[tuple[str, str
 
         def add(sums: np.ndarray, column: pa.Array, model: Model = model) -> None:
             word, sent, of = _flat(column)
-            lang, e, near, heavy = model.read(word, sent, len(of))
+            lang, near, heavy = model.read(word, sent, len(of))
             two = np.sort(near, 1)[:, -2:]
             ok = heavy & (two[:, -1] > NEAR) & (two[:, -1] - (two[:, 0] if two.shape[1] > 1 else 0) > CLEAR)
             best = near.argmax(1)
             t = ok[sent]
             sums[:cells] += np.bincount((word[t] * shape[1] + best[sent[t]]) * shape[2] + lang[sent[t]], minlength=cells)
-            at = best[ok] * shape[2] + lang[ok]
-            sums[cells : cells + rows] += np.bincount(at, minlength=rows)
-            np.add.at(sums[cells + rows :].reshape(rows, rank), at, e[ok])
-
-        sums = _summed(docs, (cells + rows + rows * rank,), add)
-        spread, floor = _spreads(sums[:cells].reshape(shape), sums[cells : cells + rows].reshape(shape[1:]))
-        centroids = sums[cells + rows :].reshape(shape[1], shape[2], rank).transpose(1, 0, 2) + _seeded(seeds, spread, idf, vectors, shape)
+            sums[cells:] += np.bincount(best[ok] * shape[2] + lang[ok], minlength=rows)
+
+        sums = _summed(docs, (cells + rows,), add)
+        counts, mass = sums[:cells].reshape(shape), sums[cells:].reshape(shape[1:])
+        # the sum of the assigned sentences' embeddings, by terms
+        centroids = np.einsum("tsl,tl,tk->lsk", counts, model.weight, model.vectors, optimize=True)
+        spread, floor = _spreads(counts, mass)
+        centroids += _seeded(seeds, spread, idf, vectors, shape)
         model = Model(subjects, vectors, idf, model.language, spread, centroids, floor)
     return model, docs
 
@@ -286,7 +287,7 @@ def assign(docs: DataFrame, model: Model) -> DataFrame:
         for batch in (b.slice(a, CHUNK) for b in batches for a in range(0, b.num_rows, CHUNK)):
             word, sent, of = _flat(batch.column(1))
             n, k = batch.num_rows, len(model.subjects)
-            _, _, near, heavy = model.read(word, sent, len(of)) if len(of) else (0, 0, np.zeros((0, k)), np.zeros(0, bool))
+            _, near, heavy = model.read(word, sent, len(of)) if len(of) else (0, np.zeros((0, k)), np.zeros(0, bool))
             top = near.max(1, initial=-1.0)
             alike = heavy[:, None] & (near >= top[:, None] - CLEAR) & (top > 0)[:, None]
             one = alike.sum(1) == 1
