@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 #: All white space that Python's ``\\s`` matches, for Java's and RE2's regular expressions alike.
 SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The same characters, to be trimmed.
+SPACES = "".join(map(chr, (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Characters replaced one for one by ``normalize_surface``.
 SURFACE_FROM, SURFACE_TO = "‘’‛“”–—−   ", "'''\"\"---   "
 #: Token: a word with its apostrophes and hyphens, or one other visible character.
@@ -64,6 +66,11 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACE + "+", " "))
 
 
+def strip(c: Column) -> Column:
+    """No white space at the ends."""
+    return F.btrim(c, F.lit(SPACES))
+
+
 def normalize_surface(c: Column, lower: bool = False, compose: bool = True) -> Column:
     """Neutral cleaning: composed letters, plain quotes, dashes and spaces, no repeated or detached punctuation. Null gives the
     empty text. One pass, which is not idempotent. ``compose=False`` skips the composition for text known to be composed."""
@@ -128,8 +135,8 @@ def casing_pattern(model: Column, word: Column) -> Column:
 
 def sentences(c: Column) -> Column:
     """Split behind sentence ends; blank parts go."""
-    parts = F.split(F.regexp_replace(F.coalesce(c, F.lit("")), f"^{SPACE}+|{SPACE}+$", ""), r"(?<=[.!?…])" + SPACE + "+")
-    return F.filter(parts, lambda p: F.length(squeeze(p)) > 0)
+    parts = F.split(strip(F.coalesce(c, F.lit(""))), r"(?<=[.!?…])" + SPACE + "+")
+    return F.filter(parts, lambda p: strip(p) != "")
 
 
 def canonical(c: Column) -> Column:
@@ -191,9 +198,12 @@ def relative_key(path: Column, root: str) -> Column:
 
 
 def iso_time(ms: Column) -> Column:
-    """Epoch milliseconds as ISO 8601 UTC; empty for null and 0. Needs the session time zone UTC."""
-    t = F.timestamp_millis(ms)
-    return F.when(ms.isNull() | (ms == 0), "").otherwise(F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.when(ms % 1000 == 0, "").otherwise(F.concat(F.lit("."), F.lpad((ms % 1000).cast("string"), 3, "0"), F.lit("000"))), F.lit("+00:00")))
+    """Epoch milliseconds as ISO 8601 UTC, whatever the session's time zone; empty for null and 0."""
+    day = 86_400_000
+    start = F.timestamp_add("DAY", F.floor(ms / day).cast("int"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    t = F.timestamp_add("SECOND", F.floor(F.pmod(ms, F.lit(day)) / 1000).cast("int"), start).cast("string")
+    part = F.when(F.pmod(ms, F.lit(1000)) == 0, "").otherwise(F.concat(F.lit("."), F.lpad(F.pmod(ms, F.lit(1000)).cast("string"), 3, "0"), F.lit("000")))
+    return F.when(ms.isNull() | (ms == 0), "").otherwise(F.concat(F.replace(t, F.lit(" "), F.lit("T")), part, F.lit("+00:00")))
 
 
 def percent(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarin.functions.metrics import capped_cer
-from tamarin.functions.text import iso_time, plain_text, squeeze
+from tamarin.functions.text import iso_time, plain_text, strip
 from tamarin.operators.gate import rejection
 from tamarin.operators.ranks import medians
 
@@ -20,7 +20,7 @@ RETEST_MS, RETEST_RATE = 14 * 24 * 3_600_000, 30
 
 def filled(c: Column) -> Column:
     """Whether a correction has visible text."""
-    return F.length(squeeze(F.coalesce(c, F.lit("")))) > 0
+    return strip(F.coalesce(c, F.lit(""))) != ""
 
 
 def versions(events: DataFrame, gap_ms: int = SESSION_MS) -> DataFrame:

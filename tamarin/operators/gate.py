@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarin.functions import scores
-from tamarin.functions.text import SPACE, bind
+from tamarin.functions.text import bind, strip
 
 #: Phrases a recogniser invents.
 HALLUCINATIONS = (
@@ -32,7 +32,7 @@ ACCENTED, PLAIN = "àâäéèêëîïôöùûüçòñ", "aaaeeeeiioouuucon"
 def rejection(text: Column) -> Column:
     """Null where a transcript is kept, else ``hallucination`` or ``français``. Blank and doubtful texts are kept: fewer than three
     words, or no strict majority of French function words."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    t = strip(F.coalesce(text, F.lit("")))
     creole = F.array(*map(F.lit, CREOLE))
     french = F.array(*map(F.lit, FRENCH))
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,36 @@ from tamarin.plans.durable import durable
 Corrector = Callable[[DataFrame, str, str, str], DataFrame]
 
 
+def batch_corrector(correct_texts: Callable[[list[str]], list[str]], size: int = 32) -> Corrector:
+    """A corrector from a function over lists of texts, such as a model's. It gets ``size`` texts at a time; where a call fails, its
+    texts are tried one by one, and one that fails alone comes out empty with the error in ``correction_error``."""
+
+    def corrector(df: DataFrame, key: str, text: str, into: str) -> DataFrame:
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            def one(t: str) -> tuple[str, str | None]:
+                try:
+                    return correct_texts([t])[0], None
+                except Exception as e:  # noqa: BLE001 - isolated per record
+                    return "", f"{type(e).__name__}: {e}"
+
+            for part in parts:
+                texts, out = [t or "" for t in part[text]], []
+                for a in range(0, len(texts), size):
+                    few = texts[a : a + size]
+                    try:
+                        got = correct_texts(few)
+                        out += [(g, None) for g in got] if len(got) == len(few) else [one(t) for t in few]
+                    except Exception:  # noqa: BLE001
+                        out += [one(t) for t in few]
+                yield part.assign(**{into: [o[0] for o in out], "correction_error": [o[1] for o in out]})
+
+        schema = ", ".join(f"`{c}` {k}" for c, k in df.select(key, text).dtypes) + f", `{into}` string, correction_error string"
+        done = df.select(key, text).dropDuplicates([key]).mapInPandas(run, schema).drop(text)
+        return df.join(done, key, "left")
+
+    return corrector
+
+
 def score_segments(df: DataFrame, text: str, model: DataFrame, key: str, order: int = 5) -> DataFrame:
     """Missing compression ratios, token counts and language-model perplexities."""
     ppl = charlm.perplexity(df.select(key, text).dropDuplicates([key]), key, text, model, order).select(key, scores.finite(F.col("perplexity")).alias("perplexite_lm"))

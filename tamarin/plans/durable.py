@@ -42,3 +42,10 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table in fewer partitions than the session has cores, which is a small one, is dealt out to all of them; any other is left
+    as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

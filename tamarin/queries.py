@@ -12,9 +12,9 @@ from tamarin.functions import scores
 from tamarin.functions import text as tx
 from tamarin.functions.metrics import capped_cer, char_errors, corpus_rate, word_errors
 from tamarin.operators import annotations as an
-from tamarin.operators import charlm, gate, ingest, nbest, pairs, rules, suggest
+from tamarin.operators import charlm, evaluate, gate, ingest, nbest, pairs, rules, suggest
 from tamarin.plans import correct
-from tamarin.plans.durable import durable
+from tamarin.plans.durable import durable, spread
 from tamarin.sources import readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return readers.table(spark, f"{sf_dir}/{name}.parquet", list(columns) or None)
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The same for work on texts that is worth all cores."""
+    return spread(_table(spark, sf_dir, name, *columns))
+
+
 # ---- SQL fragments -------------------------------------------------------------------------------------------------------------
 
 _SP = tx.SPACE
@@ -111,19 +116,19 @@ def _gate(x: str) -> str:
 @_query(f"select lower(trim(lang)) as lang, coalesce({_gate('text')}, '') as reason, count(*) as n from documents group by all")
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by language label and reason of rejection."""
-    df = _table(spark, sf_dir, "documents", "lang", "text")
+    df = _texts(spark, sf_dir, "documents", "lang", "text")
     return df.groupBy(F.lower(F.trim("lang")).alias("lang"), F.coalesce(gate.rejection(F.col("text")), F.lit("")).alias("reason")).agg(F.count("*").alias("n"))
 
 
 @_query(f"select distinct c, {_norm('t')} as t from segment_index")
 def normalize_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _table(spark, sf_dir, "segment_index", "c", "t")
+    df = _texts(spark, sf_dir, "segment_index", "c", "t")
     return df.select("c", tx.normalize_surface(F.col("t")).alias("t")).distinct()
 
 
 @_query(f"select token, count(*) as n from (select unnest({_tokens(_norm('target_gcf'))}) as token from train_pairs) group by 1 order by n desc, token limit 50")
 def token_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _table(spark, sf_dir, "train_pairs", "target_gcf").select(F.explode(tx.tokenize(F.col("target_gcf"))).alias("token"))
+    df = _texts(spark, sf_dir, "train_pairs", "target_gcf").select(F.explode(tx.tokenize(F.col("target_gcf"))).alias("token"))
     return df.groupBy("token").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "token").limit(50)
 
 
@@ -142,7 +147,7 @@ def _enforced(x: str) -> str:
 
 @_query(f"select doc_id, {_enforced('text')} as text from documents where lower(trim(lang)) = 'fr'")
 def alphabet_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _table(spark, sf_dir, "documents", "doc_id", "lang", "text").where(F.lower(F.trim("lang")) == "fr")
+    df = _texts(spark, sf_dir, "documents", "doc_id", "lang", "text").where(F.lower(F.trim("lang")) == "fr")
     return df.select("doc_id", tx.enforce_alphabet(F.col("text")).alias("text"))
 
 
@@ -170,7 +175,7 @@ first as (select * from (select *, row_number() over (partition by fp order by d
 @_query(_SENTENCES + " select doc_id, pos, sentence, fp from first")
 def sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first seen of each sentence of the documents."""
-    return pairs.clean_sentences(_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
+    return pairs.clean_sentences(_texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 @_query(_SENTENCES + f" select {_split('fp')} as split, count(*) as n from first group by 1")
@@ -192,7 +197,7 @@ g as (select unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_
 select gram, count(*) as n from g group by 1 having count(*) >= 5"""
 )
 def ngram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _table(spark, sf_dir, "train_pairs", "source_pseudo_ht").select(F.explode(tx.word_ngrams(tx.tokenize(F.col("source_pseudo_ht")), 3)).alias("gram"))
+    df = _texts(spark, sf_dir, "train_pairs", "source_pseudo_ht").select(F.explode(tx.word_ngrams(tx.tokenize(F.col("source_pseudo_ht")), 3)).alias("gram"))
     return df.groupBy("gram").agg(F.count("*").alias("n")).where("n >= 5")
 
 
@@ -214,7 +219,10 @@ def _fix(x: str) -> str:
 _REWRITTEN = "array_to_string(list_transform(" + _tokens(_norm("source_pseudo_ht")) + ", lambda w: " + _CASED + "), ' ')"
 
 
-@_query(f"select pair_id, {_norm(_fix(_REWRITTEN))} as rewritten from test_pairs")
+_NEW_TEXT = _norm(_fix(_REWRITTEN))
+
+
+@_query(f"select pair_id, {_NEW_TEXT} as rewritten from test_pairs")
 def rules_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-word rules, natively."""
     df = _table(spark, sf_dir, "test_pairs", "pair_id", "source_pseudo_ht")
@@ -222,7 +230,7 @@ def rules_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.corrected_pairs(_table(spark, sf_dir, "diagnostic_to_correct", "whisper_ht", "corrected").distinct()).withColumn("key", F.md5(F.concat_ws("|", "src", "tgt").cast("binary")))
+    return readers.corrected_pairs(_texts(spark, sf_dir, "diagnostic_to_correct", "whisper_ht", "corrected").distinct()).withColumn("key", F.md5(F.concat_ws("|", "src", "tgt").cast("binary")))
 
 
 @_query()
@@ -292,7 +300,7 @@ def corpus_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summed error rates per corpus."""
     ref, hyp = F.col("target_gcf"), F.col("source_pseudo_ht")
     same = tx.normalize_surface(ref, lower=True) == tx.normalize_surface(hyp, lower=True)
-    df = _table(spark, sf_dir, "train_pairs", "corpus", "target_gcf", "source_pseudo_ht").select("corpus", word_errors(ref, hyp).alias("w"), char_errors(ref, hyp).alias("c"), same.alias("same"))
+    df = _texts(spark, sf_dir, "train_pairs", "corpus", "target_gcf", "source_pseudo_ht").select("corpus", word_errors(ref, hyp).alias("w"), char_errors(ref, hyp).alias("c"), same.alias("same"))
     return df.groupBy("corpus").agg(
         F.count("*").alias("n"), F.round(corpus_rate(F.col("w.errors"), F.col("w.length")), 6).alias("wer"), F.round(corpus_rate(F.col("c.errors"), F.col("c.length")), 6).alias("cer"), F.count_if("same").alias("exact")
     )
@@ -304,7 +312,7 @@ model as (select n::int as n, gram, count(*) as cnt from (select n, substr(s, i,
 
 @_query(_COUNTS + " select n, gram, cnt from model")
 def charlm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return charlm.fit(_table(spark, sf_dir, "train_pairs", "target_gcf"), "target_gcf", 3)
+    return charlm.fit(_texts(spark, sf_dir, "train_pairs", "target_gcf"), "target_gcf", 3)
 
 
 @_query(
@@ -338,6 +346,24 @@ def next_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charlm.next_words(df, "w")
 
 
+@_query(
+    f"""with e as (select {_low_tokens('target_gcf')} as r, {_low_tokens('source_pseudo_ht')} as s, {_low_tokens(_NEW_TEXT)} as h, {_norm('target_gcf', True)} as rc, {_norm('source_pseudo_ht', True)} as sc, {_norm(_NEW_TEXT, True)} as hc from test_pairs),
+x as (select count(*) as n, sum({_distance('r', 's')}) / greatest(sum(len(r)), 1) as wb, sum({_distance('r', 'h')}) / greatest(sum(len(r)), 1) as wa, sum(levenshtein({_bytes1('rc')}, {_bytes1('sc')})) / greatest(sum(length(rc)), 1) as cb,
+ sum(levenshtein({_bytes1('rc')}, {_bytes1('hc')})) / greatest(sum(length(rc)), 1) as ca, count_if(rc = hc) as exact_matches from e)
+select n, round(wb, 6) as wer_before, round(wa, 6) as wer_after, round(cb, 6) as cer_before, round(ca, 6) as cer_after, round(case when wb = 0 then 0 else (wb - wa) / wb end, 6) as wer_reduction, exact_matches from x"""
+)
+def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-word rules as a correction of the test pairs, before and after."""
+    df = _texts(spark, sf_dir, "test_pairs", "source_pseudo_ht", "target_gcf").withColumn("new", rules.apply_word_rules(tx.tokenize(F.col("source_pseudo_ht")), _ONE_WORD))
+    r = evaluate.evaluate(df, "source_pseudo_ht", "new", "target_gcf")
+    return r.select("n", *(F.round(c, 6).alias(c) for c in ("wer_before", "wer_after", "cer_before", "cer_after", "wer_reduction")), "exact_matches")
+
+
+@_query("select unnest([0.1, 0.25, 0.5, 0.75, 0.9])::double as q, round(unnest(quantile_cont(wer_estime, [0.1, 0.25, 0.5, 0.75, 0.9])), 6) as value from dataset_corrected")
+def wer_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.quantiles(_table(spark, sf_dir, "dataset_corrected", "wer_estime"), "wer_estime").select("q", F.round("value", 6).alias("value"))
+
+
 # ---- quality -------------------------------------------------------------------------------------------------------------------
 
 
@@ -408,7 +434,7 @@ def audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def segment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression ratios of all segments, recomputed, and what the filter says of them."""
-    df = _table(spark, sf_dir, "dataset_corrected").withColumn("compression_ratio", tx.compression_ratio(F.col("whisper_ht"))).withColumn("n_tokens", F.size(tx.tokenize(F.col("whisper_ht"))))
+    df = _texts(spark, sf_dir, "dataset_corrected").withColumn("compression_ratio", tx.compression_ratio(F.col("whisper_ht"))).withColumn("n_tokens", F.size(tx.tokenize(F.col("whisper_ht"))))
     return correct.filtered(df).select("id", F.round("compression_ratio", 4).alias("compression_ratio"), "n_tokens", "filtre_passe", "motifs_rejet")
 
 
@@ -426,7 +452,7 @@ def corrected_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hypotheses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _table(spark, sf_dir, "dataset_corrected", "id", "whisper_ht", "gcf_corrige", "avg_logprob", "perplexite_lm", "perplexite_corrigee").where("whisper_ht is not null").distinct()
+    df = _texts(spark, sf_dir, "dataset_corrected", "id", "whisper_ht", "gcf_corrige", "avg_logprob", "perplexite_lm", "perplexite_corrigee").where("whisper_ht is not null").distinct()
     one = lambda text, t, ppl: F.struct(F.col(text).alias("text"), F.lit(t).alias("temperature"), F.col("avg_logprob"), (-F.log10(F.col(ppl))).alias("lm_logprob"))
     h = df.select(F.col("id").alias("audio"), F.explode(F.array(one("whisper_ht", 0.0, "perplexite_lm"), one("gcf_corrige", 0.2, "perplexite_corrigee"))).alias("h")).select("audio", "h.*")
     return h.where("text is not null").withColumn("corrected", F.col("text"))
@@ -461,7 +487,7 @@ def nbest_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 select source, target, 'pseudo' as origin from p union all select * from (select source, target, 'synthetic' from s order by md5('mix|' || source || '|' || target), source, target limit (select count(*) from p))"""
 )
 def pseudo_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = lambda n: _table(spark, sf_dir, n, "source_pseudo_ht", "target_gcf").where("source_pseudo_ht is not null").select(F.col("source_pseudo_ht").alias("source"), F.col("target_gcf").alias("target"))
+    read = lambda n: _texts(spark, sf_dir, n, "source_pseudo_ht", "target_gcf").where("source_pseudo_ht is not null").select(F.col("source_pseudo_ht").alias("source"), F.col("target_gcf").alias("target"))
     return nbest.mix(read("val_pairs"), read("train_pairs"))
 
 
@@ -540,7 +566,7 @@ ver as (select * exclude (nxt), max(version) over (partition by id, annotateur)
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return an.versions(_table(spark, sf_dir, "corrections"))
+    return an.versions(_texts(spark, sf_dir, "corrections"))
 
 
 @_query(_VERSIONS + ' select id, annotateur, version::int as version, corrected, note, "at" from ver')
@@ -619,7 +645,6 @@ _SEG = "(select c, max(struct_pack(t := coalesce(t, ''), m := coalesce(m, ''), d
  case when vote then '1' else '' end as vote, coalesce(ecoute_ms, 0) as ecoute_ms, coalesce(lectures, 0) as lectures, {', '.join(f"{_iso(f'jalons[{_lit(k)}]')} as {k}_a" for k in an.MILESTONES)} from ver v left join {_SEG} i on i.c = v.id"""
 )
 def corrections_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return an.export(_log(spark, sf_dir), _table(spark, sf_dir, "segment_index"))
 
 

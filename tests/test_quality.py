@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamarin.functions import scores
-from tamarin.operators import charlm, gate, ingest, nbest, pairs
+from tamarin.operators import charlm, evaluate, gate, ingest, nbest, pairs
+from tamarin.plans.correct import batch_corrector
 from tamarin.operators.ranks import medians, value_ranks
 
 
@@ -112,3 +113,26 @@ def test_ingest(spark):
     assert [r["position"] for r in page if r["temoin"]] == [3, 10] and len(page) == 14
     assert ingest.manifest(ingest.lot(index, None, 5, "x"), "l", "c", 32).first()["segments"][0]["f"] is not None
     assert ingest.known_witnesses(wit, index).count() == 2
+
+
+def test_evaluation(spark):
+    df = spark.createDataFrame([("mwen ap manje", "an ka manjé", "an ka manjé")], "s string, p string, r string")
+    out = evaluate.evaluate(df, "s", "p", "r").first()
+    assert out["wer_after"] == 0 and out["wer_reduction"] == 1 and out["exact_matches"] == 1
+    assert evaluate.evaluate(df.limit(0), "s", "p", "r").first()["n"] == 0
+    assert evaluate.mismatches(df, "s", "s", "r").count() == 1 and evaluate.mismatches(df, "s", "p", "r").count() == 0
+    v = spark.range(1, 12).select("id")
+    assert {(r["q"], r["value"]) for r in evaluate.quantiles(v, "id").collect()} == {(0.1, 2.0), (0.25, 3.5), (0.5, 6.0), (0.75, 8.5), (0.9, 10.0)}
+    a = spark.createDataFrame([("wi", "wi", 0.1), ("non", "wi", 0.3), ("x", None, 0.9)], "p string, t string, e double")
+    assert tuple(evaluate.audited(a, "p", "t", "e").first()) == (2, 0.5, 0.2)
+
+
+def test_corrector_isolates_failures(spark):
+    def fix(texts):
+        if "bad" in texts:
+            raise ValueError("no")
+        return [t.upper() for t in texts]
+
+    df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, None), (1, "a")], "k int, t string")
+    out = {r["k"]: (r["new"], r["correction_error"]) for r in batch_corrector(fix)(df, "k", "t", "new").collect()}
+    assert out == {1: ("A", None), 2: ("", "ValueError: no"), 3: ("", None)}
