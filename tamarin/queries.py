@@ -406,8 +406,8 @@ _BUCKETS = """select format('{:.1f}', floor(confiance * 10) / 10) as bucket, rou
 
 @_query(_BUCKETS)
 def wer_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calibration table of the less confident half."""
-    return ingest.calibration(_table(spark, sf_dir, "dataset_corrected", "confiance", "wer_estime").where("confiance < 0.6"), "confiance", "wer_estime")
+    """Calibration table of all rows with a confidence and an error rate."""
+    return ingest.calibration(_table(spark, sf_dir, "dataset_corrected", "confiance", "wer_estime"), "confiance", "wer_estime")
 
 
 @_query(
