@@ -147,7 +147,7 @@ def _enforced(x: str) -> str:
 
 @_query(f"select doc_id, {_enforced('text')} as text from documents where lower(trim(lang)) = 'fr'")
 def alphabet_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _texts(spark, sf_dir, "documents", "doc_id", "lang", "text").where(F.lower(F.trim("lang")) == "fr")
+    df = _texts(spark, sf_dir, "documents", "doc_id", "text")
     return df.select("doc_id", tx.enforce_alphabet(F.col("text")).alias("text"))
 
 

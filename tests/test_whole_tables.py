@@ -1,6 +1,11 @@
 """Queries that once cut their tables, on small tables of our own."""
 
+import os
+
+import pytest
+
 from tamarin import queries as m
+from tests.test_queries import DATA, compare
 
 
 def write(spark, at, name, rows, schema):
@@ -15,3 +20,15 @@ def test_calibration_of_all_confidences(spark, tmp_path):
     near = {r["id"]: r["wer_estime"] for r in m.wer_nearest(spark, d).collect()}
     # 0.55 lies nearest to 0.7, 0.83 to 0.9, 0.6 to 0.7
     assert near == {"a": 0.45, "b": 0.45, "c": 0.2, "d": 0.01, "e": 0.01, "f": 0.0, "h": 0.2, "i": 0.01, "j": 0.2}
+
+
+def test_alphabet_of_all_documents(spark, tmp_path):
+    rows = [("a", "fr", "français"), ("b", "gcf", "quach"), ("c", " HT ", "physique"), ("d", None, "forêt"), ("e", "en", "taxi"), ("f", "", None)]
+    d = write(spark, tmp_path, "documents", rows, "doc_id string, lang string, text string")
+    assert {tuple(r) for r in m.alphabet_enforced(spark, d).collect()} == {("a", "fransais"), ("b", "kah"), ("c", "fysike"), ("d", "forèt"), ("e", "taksi"), ("f", None)}
+
+
+def test_alphabet_by_sql_on_all_documents(spark):
+    if not os.path.isdir(DATA):
+        pytest.skip("no test tables here")
+    compare(spark, m.alphabet_enforced, f"select doc_id, {m._enforced('text')} as text from documents")
