@@ -312,7 +312,7 @@ model as (select n::int as n, gram, count(*) as cnt from (select n, substr(s, i,
 
 @_query(_COUNTS + " select n, gram, cnt from model")
 def charlm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return charlm.fit(_texts(spark, sf_dir, "train_pairs", "target_gcf"), "target_gcf", 3)
+    return charlm.fit(_texts(spark, sf_dir, "train_pairs", "target_gcf"), "target_gcf", 5)
 
 
 @_query(
@@ -328,7 +328,7 @@ select pair_id, round(lp, 5) as log10_prob, round(pow(10, -lp / n), 4) as perple
 )
 def charlm_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = durable(charlm_counts(spark, sf_dir), "charlm")
-    df = charlm.perplexity(_table(spark, sf_dir, "val_pairs", "pair_id", "target_gcf"), "pair_id", "target_gcf", model, 3)
+    df = charlm.perplexity(_table(spark, sf_dir, "val_pairs", "pair_id", "target_gcf"), "pair_id", "target_gcf", model, 5)
     return df.select("pair_id", F.round("log10_prob", 5).alias("log10_prob"), F.round("perplexity", 4).alias("perplexity"))
 
 
@@ -445,7 +445,7 @@ def corrected_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _table(spark, sf_dir, "dataset_corrected", "id", "audio", "duration", "whisper_ht", "avg_logprob", "compression_ratio", "no_speech_prob").dropDuplicates(["id"])
     model = durable(charlm_counts(spark, sf_dir), "charlm")
     by_rules = lambda d, key, text, into: rules.apply_rules(d, key, text, seed, into=into)
-    return correct.correct(df, "id", "whisper_ht", by_rules, model, wer_buckets(spark, sf_dir), order=3)
+    return correct.correct(df, "id", "whisper_ht", by_rules, model, wer_buckets(spark, sf_dir), order=5)
 
 
 # ---- hypotheses ----------------------------------------------------------------------------------------------------------------

@@ -1,6 +1,8 @@
 """Queries that once cut their tables, on small tables of our own."""
 
+import math
 import os
+from collections import Counter
 
 import pytest
 
@@ -32,3 +34,37 @@ def test_alphabet_by_sql_on_all_documents(spark):
     if not os.path.isdir(DATA):
         pytest.skip("no test tables here")
     compare(spark, m.alphabet_enforced, f"select doc_id, {m._enforced('text')} as text from documents")
+
+
+def test_language_model_of_order_five(spark, tmp_path):
+    targets = ["an ka manjé diri la", "an ka manjé pen la", "i ka manjé diri", ""]
+    seen = ["an ka manjé diri", "yo ka alé", ""]
+    write(spark, tmp_path, "train_pairs", [(t,) for t in targets], "target_gcf string")
+    d = write(spark, tmp_path, "val_pairs", [(str(i), t) for i, t in enumerate(seen)], "pair_id string, target_gcf string")
+    framed = [f"^{t}$" for t in targets]
+    counts = Counter((n, s[i : i + n]) for s in framed for n in range(1, 6) for i in range(len(s) - n + 1))
+    assert {(r["n"], r["gram"]): r["cnt"] for r in m.charlm_counts(spark, d).collect()} == counts
+    total = sum(map(len, framed))
+
+    def prob(ctx, ch):
+        for k in range(len(ctx), -1, -1):
+            c = ctx[len(ctx) - k :]
+            num, den = counts[k + 1, c + ch], counts[k, c] if k else total
+            if num and den:
+                return 0.4 ** (len(ctx) - k) * num / den
+        return 1 / total
+
+    got = {r["pair_id"]: r["log10_prob"] for r in m.charlm_perplexity(spark, d).collect()}
+    for i, t in enumerate(seen):
+        s = f"^{t}$"
+        assert abs(got[str(i)] - sum(math.log10(prob(s[max(0, j - 4) : j], s[j])) for j in range(1, len(s)))) < 2e-5
+
+
+def test_correction_pass_uses_order_five(spark, monkeypatch):
+    used = {}
+    monkeypatch.setattr(m, "durable", lambda df, name: df)
+    monkeypatch.setattr(m.correct, "correct", lambda df, key, text, corrector, model, calibration, order=5: used.update(order=order, model=model) or df)
+    if not os.path.isdir(DATA):
+        pytest.skip("no test tables here")
+    m.corrected_segments(spark, DATA)
+    assert used["order"] == 5 and used["model"].agg({"n": "max"}).first()[0] == 5
