@@ -1,59 +1,47 @@
 """Problem 5: the language of each text and of each one-language stretch of a mixed one, by cross-parsing entropy.
 
-For every language a suffix automaton of labelled text recognises all its substrings. A text is parsed greedily into the longest
-phrases, of whole words, that an automaton knows; the language that needs the fewest phrases for the length fits best. Each word carries its share of
-the phrases it lies in, and a Viterbi pass over the words finds the stretches, a change of language costing ``SWITCH`` phrases.
-
-Labelled text is a bounded sample (``PER_LANGUAGE`` characters a language). A language without labelled rows starts from the
-sentences in ``SEEDS``. Rows of the table itself that one language explains clearly, out of a bounded sample of rows of lowest
-hash, are then added to their language's text, so that the automata also know the corpus's own vocabulary.
+For every language a suffix automaton of labelled text recognises all its sequences of words, another one all pieces of its words. A
+text is parsed greedily into the longest phrases that the automata know: stretches of words, and for a word never seen the longest
+pieces of words. Phrases are normalised by the logarithm of the labelled text's length, as the cross-parsing estimate of the entropy
+asks, so that a language with more text has no advantage; the language that needs the fewest fits best. Each word carries its share
+of the phrases it lies in, and a Viterbi pass over the words finds the stretches, a change of language costing ``SWITCH`` phrases.
+
+Labelled text is a bounded sample: ``PER_LANGUAGE`` characters a language, the rows of lowest hash. A language that no table labels
+comes in as general text (``tamarin.llm.spanish``). Rows of the corpus that one language explains best, out of the ``OWN_ROWS`` rows
+of lowest hash, are then added to their language's text, round by round, so that the automata also know the corpus's vocabulary.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Characters of labelled text that an automaton holds at most.
 PER_LANGUAGE = 60_000
-#: Rows of the table looked at for more labelled text.
+#: Rows of the corpus looked at for more labelled text.
 OWN_ROWS = 4_000
 #: Phrases that a change of language inside a text must save.
-SWITCH = 3.0
+SWITCH = 2.0
 #: Words of a stretch that counts.
 STRETCH = 6
-#: The best language of a row taken over as labelled text needs at most this share of the second's phrases.
-CLEAR = 0.6
-
-#: Everyday sentences for languages of which no labelled rows exist.
-SEEDS = {
-    "es": (
-        "ella quiere comprar el pan para la familia y él va a buscar la llave de la casa por la mañana. "
-        "nosotros queremos hablar con el vecino porque usted tiene que trabajar hoy. yo puedo ver el río desde la ventana. "
-        "ellos deben salir antes de la fiesta, pero no saben cuándo van a volver al pueblo. los niños juegan en la calle con el perro. "
-        "¿dónde está el libro que ella debe leer? tengo que llevar la carta a la oficina cerca de la iglesia. "
-        "cuando él puede descansar, quiere escuchar una canción sobre el camino del mar. la señora va a preparar la comida en la cocina. "
-        "ayer por la noche ellos querían abrir la puerta, pero la lámpara no daba luz. usted puede poner la silla hacia la mesa. "
-        "mi hermano y mi amigo tienen que vender el coche grande y guardar el dinero en una caja fuerte. "
-        "nosotras debemos limpiar la escuela después de la lluvia. el árbol alto está detrás del puente de piedra. "
-        "todos los días la gente del barrio quiere contar lo que pasó con el autobús y la tienda pequeña. "
-        "es fácil olvidar la palabra, así que ella va a mirar la foto para recordar el nombre de la ciudad. "
-        "ante el trabajo, él debe explicar por qué hay que cambiar el papel sin perder tiempo. hace mucho que no quieren enviar ese regalo útil."
-    )
-}
-_KEEP = re.compile(r"[^\w']+|_")
+#: A row is taken over as labelled text if its best language saves this share of the second's phrases, in each round, and if no
+#: change of language in it would save DOUBT phrases.
+CLEAR, DOUBT = (0.2, 0.3, 0.4), 1.0
+#: Phrases that a word no automaton has seen counts as, and what each of its pieces adds.
+UNKNOWN, PIECE = 1.0, 0.25
+#: A text with accents in at most one of RARE words is parsed without any.
+RARE = 12
+#: Words whose costs a worker keeps.
+CACHE = 300_000
 
-
-#: Phrases that a word unknown to an automaton counts as, at least.
-UNKNOWN = 1.5
-#: Rounds of taking over clear rows.
-ROUNDS = 2
+_KEEP = re.compile(r"[^\w']+|_")
 
 
 def _accents_off(text: str) -> str:
@@ -68,40 +56,34 @@ def tokens(text: str | None) -> list[str]:
     return [w for w in _KEEP.sub(" ", t).replace("'", "' ").split() if w != "'"]
 
 
-def names_in(texts: Iterable[str | None]) -> set[str]:
-    """Words that stand with a capital inside sentences and never in lower case: names, which tell no language."""
-    capital, lower = set(), set()
-    for text in texts:
-        if not text or text.isupper():
-            continue
-        inside = False
-        for w in re.findall(r"[^\W_]+|[.!?\n—:]", unicodedata.normalize("NFC", text)):
-            if w[0].islower():
-                lower.add(w)
-            elif inside and w[0].isupper() and not w.isupper():
-                capital.add(w.lower())
-            inside = w[0].isalpha()
-    return capital - lower
+_CAPITAL = re.compile(r"[^\W\d_]{2,}")
+
+
+def capitals(text: str) -> set[str]:
+    """The words of a text that start with a capital, lower-cased; none where all letters are capitals."""
+    if text.islower() or text.isupper():
+        return set()
+    return {w.lower() for w in _CAPITAL.findall(unicodedata.normalize("NFC", text)) if w[0].isupper()}
 
 
 class Automaton:
-    """All substrings of a text, in one pass."""
+    """All stretches of a sequence, in one pass."""
 
-    def __init__(self, text: str):
-        nxt: list[dict[str, int]] = [{}]
+    def __init__(self, sequence: Iterable):
+        nxt: list[dict] = [{}]
         link, length = [-1], [0]
         last = 0
-        for ch in text:
+        for x in sequence:
             cur = len(nxt)
             nxt.append({})
             length.append(length[last] + 1)
             link.append(0)
             p = last
-            while p >= 0 and ch not in nxt[p]:
-                nxt[p][ch] = cur
+            while p >= 0 and x not in nxt[p]:
+                nxt[p][x] = cur
                 p = link[p]
             if p >= 0:
-                q = nxt[p][ch]
+                q = nxt[p][x]
                 if length[p] + 1 == length[q]:
                     link[cur] = q
                 else:
@@ -109,130 +91,170 @@ class Automaton:
                     nxt.append(dict(nxt[q]))
                     length.append(length[p] + 1)
                     link.append(link[q])
-                    while p >= 0 and nxt[p].get(ch) == q:
-                        nxt[p][ch] = clone
+                    while p >= 0 and nxt[p].get(x) == q:
+                        nxt[p][x] = clone
                         p = link[p]
                     link[q] = link[cur] = clone
             last = cur
         self.next = nxt
 
+    def longest(self, sequence, i: int) -> int:
+        """Length of the longest stretch from ``i`` on."""
+        nxt, s, j, n = self.next, 0, i, len(sequence)
+        while j < n:
+            s = nxt[s].get(sequence[j])
+            if s is None:
+                break
+            j += 1
+        return j - i
+
+
+class Language:
+    """The automata of one language's labelled text."""
+
+    def __init__(self, texts: list[list[str]]):
+        words = [w for t in texts for w in (*t, "|")]
+        self.words = Automaton(words)
+        self.pieces = Automaton(" " + " ".join(dict.fromkeys(words)) + " ")
+        self.start = self.words.next[0]
+        self.size = math.log2(2 + sum(map(len, words)))
+        self.weight = 1.0
+        self.seen: dict[str, float] = {}
+
+    def unknown(self, word: str) -> float:
+        """Phrases that a word never seen counts as: the more, the more pieces it takes."""
+        if (known := self.seen.get(word)) is None:
+            if len(self.seen) >= CACHE:
+                self.seen.clear()
+            w, i, c = f" {word} ", 0, 0
+            while i < len(w):
+                i += max(1, self.pieces.longest(w, i))
+                c += 1
+            self.seen[word] = known = (UNKNOWN + PIECE * c) * self.weight
+        return known
+
     def phrases(self, words: list[str]) -> list[float]:
-        """Each word's share of the phrases. A phrase is the longest match from a word on, cut back to whole words; a word that
-        does not match whole is a phrase of its own and costs more, the less of it matches."""
-        nxt, out, i, n = self.next, [], 0, len(words)
-        root = nxt[0].get(" ")
+        """Each word's share of the phrases."""
+        out, i, n, start = [], 0, len(words), self.start
         while i < n:
-            s, j, part = root, i, 0
-            while s is not None and j < n:
-                w = words[j] + " "
-                for part, ch in enumerate(w):  # noqa: B007
-                    s = nxt[s].get(ch)
-                    if s is None:
-                        break
-                else:
-                    j += 1
-            if j > i:
-                out.extend([1.0 / (j - i)] * (j - i))
-                i = j
-            else:
-                out.append(UNKNOWN + 0.5 * (1 - part / (len(words[i]) + 1)))
+            if words[i] not in start:
+                out.append(self.unknown(words[i]))
                 i += 1
+                continue
+            k = self.words.longest(words, i)
+            out.extend([self.weight / k] * k)
+            i += k
         return out
 
 
 class Parser:
     """The automata of all languages, once with accents and once without."""
 
-    def __init__(self, texts: dict[str, str], names: set[str] = frozenset()):
-        self.languages, self.names = sorted(texts), names | {_accents_off(w) for w in names}
-        self.accented = [Automaton(texts[x]) for x in self.languages]
-        self.plain = [Automaton(_accents_off(texts[x])) for x in self.languages]
-
-    def costs(self, words: list[str]) -> list[list[float]]:
-        """Phrases per language and word; names count nothing."""
-        ascii_only = all(map(str.isascii, words))
+    def __init__(self, texts: dict[str, list[str]]):
+        self.languages = sorted(texts)
+        words = {x: [tokens(t) for t in texts[x]] for x in self.languages}
+        self.accented = [Language(words[x]) for x in self.languages]
+        self.plain = [Language([[_accents_off(w) for w in t] for t in words[x]]) for x in self.languages]
+        most = max((x.size for x in self.accented), default=1.0)
+        for a, b in zip(self.accented, self.plain):
+            a.weight = b.weight = a.size / most
+
+    def costs(self, words: list[str], names: set[str] = frozenset()) -> list[list[float]]:
+        """Phrases per language and word. Names, the words with a capital that no language knows, count nothing."""
+        use = self.plain if sum(map(str.isascii, words)) * RARE >= len(words) * (RARE - 1) else self.accented
+        names = [i for i, w in enumerate(words) if w in names and not any(w in x.start for x in use)] if names else ()
         out = []
-        for a in self.plain if ascii_only else self.accented:
-            own = a.phrases(words)
-            if not self.names.isdisjoint(words):
-                own = [0.0 if w in self.names else x for w, x in zip(words, own)]
+        for x in use:
+            own = x.phrases(words)
+            for i in names:
+                own[i] = 0.0
             out.append(own)
         return out
 
-    def stretches(self, text: str | None) -> list[tuple[str, int, int, float]]:
+    def stretches(self, text: str | None, switch: float = SWITCH) -> list[tuple[str, int, int, float]]:
         """(language, first word, words, confidence) of each stretch. The confidence is the share of the phrases of the second-best
         language that the best saves, from 0 to 1."""
         words = tokens(text)
-        if not words:
-            return []
-        cost = self.costs(words)
+        return self._stretches(words, capitals(text), switch) if words else []
+
+    def _stretches(self, words: list[str], names: set[str], switch: float) -> list[tuple[str, int, int, float]]:
+        cost = self.costs(words, names)
         k, n = len(cost), len(words)
-        total, back = [c[0] for c in cost], []
-        for i in range(1, n):
-            low = min(range(k), key=total.__getitem__)
-            jump = total[low] + SWITCH
-            step = [x if total[x] <= jump else low for x in range(k)]
-            total = [min(total[x], jump) + cost[x][i] for x in range(k)]
-            back.append(step)
-        x = min(range(k), key=total.__getitem__)
-        path = [x]
-        for step in reversed(back):
-            x = step[x]
-            path.append(x)
-        path.reverse()
+        sums = [sum(c) for c in cost]
+        x = min(range(k), key=sums.__getitem__)
+        if sums[x] <= sum(map(min, zip(*cost))) + switch:  # no change of language can save what it costs
+            path = [x] * n
+        else:
+            path = _path(cost, k, n, switch)
         out, a = [], 0
         for b in range(1, n + 1):
             if b == n or path[b] != path[a]:
-                sums = sorted((sum(c[a:b]), y != path[a]) for y, c in enumerate(cost))
-                own, rest = sum(cost[path[a]][a:b]), [s for s, other in sums if other]
-                out.append((self.languages[path[a]], a, b - a, max(0.0, 1 - own / rest[0]) if rest and rest[0] > 0 else 0.0))
+                own = sum(cost[path[a]][a:b])
+                rest = min((sum(c[a:b]) for y, c in enumerate(cost) if y != path[a]), default=0.0)
+                out.append((self.languages[path[a]], a, b - a, max(0.0, 1 - own / rest) if rest > 0 else 0.0))
                 a = b
         return out
 
 
-def _bounded(rows: Iterable[tuple[str, str]], into: dict[str, list[str]], names: set[str]) -> dict[str, str]:
-    """The words of labelled rows but for names, joined per language up to PER_LANGUAGE characters; ``into`` comes first."""
-    size = {k: sum(map(len, v)) for k, v in into.items()}
+def _path(cost: list[list[float]], k: int, n: int, switch: float) -> list[int]:
+    """The cheapest language of every word, a change costing ``switch``."""
+    total, back = [c[0] for c in cost], []
+    for column in list(zip(*cost))[1:]:
+        low = total.index(min(total))
+        jump = total[low] + switch
+        back.append([x if total[x] <= jump else low for x in range(k)])
+        total = [(t if t <= jump else jump) + c for t, c in zip(total, column)]
+    path = [total.index(min(total))]
+    for step in reversed(back):
+        path.append(step[path[-1]])
+    return path[::-1]
+
+
+def _bounded(rows: Iterable[tuple[str, str]]) -> dict[str, list[str]]:
+    """The texts per language, in order, whole, until PER_LANGUAGE characters are reached."""
+    out: dict[str, list[str]] = {}
+    size: dict[str, int] = {}
     for lang, text in rows:
-        if size.get(lang, 0) < PER_LANGUAGE and (w := [x for x in tokens(text) if x not in names]):
-            into.setdefault(lang, []).append(t := " ".join(w))
-            size[lang] = size.get(lang, 0) + len(t) + 1
-    return {k: (" " + " | ".join(v) + " ")[: PER_LANGUAGE + 1000] for k, v in into.items()}
-
-
-def _lowest(df: DataFrame, rows: int, *columns: str) -> list:
-    return df.distinct().orderBy(F.xxhash64(*columns), *columns).limit(rows).collect()
-
-
-def labelled_text(labelled: DataFrame, own: DataFrame | None = None) -> tuple[dict[str, str], set[str]]:
-    """Text per language from ``labelled(lang, text)`` and from rows of ``own(text)`` that one language explains clearly; and the
-    names that stand in them."""
-    good = labelled.where("lang is not null and trim(text) <> ''")
-    rows = [(r["lang"], r["text"]) for lang in sorted(r["lang"] for r in good.select("lang").distinct().limit(64).collect()) for r in _lowest(good.where(F.col("lang") == lang), 400, "text")]
-    mine = [r["text"] for r in _lowest(own.where("trim(text) <> ''"), OWN_ROWS, "text")] if own is not None else []
-    return learn(rows, mine)
-
-
-def learn(rows: list[tuple[str, str]], mine: list[str]) -> tuple[dict[str, str], set[str]]:
+        if size.get(lang, 0) < PER_LANGUAGE:
+            out.setdefault(lang, []).append(text)
+            size[lang] = size.get(lang, 0) + len(text) + 1
+    return out
+
+
+def labelled_text(labelled: DataFrame, general: list[tuple[str, str]] = (), own: DataFrame | None = None) -> dict[str, list[str]]:
+    """Texts per language from ``labelled(lang, text)``, from ``general`` (language, text) for languages it lacks, and from rows of
+    ``own(text)`` that one language explains clearly. At most PER_LANGUAGE characters a language and OWN_ROWS rows leave the
+    tables, those of lowest hash; all languages are kept. Null and blank texts and null languages are no rows."""
+    good = labelled.where("lang is not null and trim(text) <> ''").select("lang", "text").distinct()
+    # each text is longer than nothing, so PER_LANGUAGE characters are reached within as many rows: a bound, not a cut
+    before = F.sum(F.length("text") + 1).over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text").rowsBetween(Window.unboundedPreceding, -1))
+    rows = [(r["lang"], r["text"]) for r in good.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < PER_LANGUAGE).orderBy("lang", "before").collect()]
+    mine = []
+    if own is not None:
+        texts = own.where("trim(text) <> ''").select("text").distinct()
+        mine = [r["text"] for r in texts.orderBy(F.xxhash64("text"), "text").limit(OWN_ROWS).collect()]
+    return learn(rows, general, mine)
+
+
+def learn(rows: list[tuple[str, str]], general: Iterable[tuple[str, str]] = (), mine: Iterable[str] = ()) -> dict[str, list[str]]:
     """The driver's part of ``labelled_text``, over bounded rows."""
     known = {lang for lang, _ in rows}
-    start = {k: [" ".join(tokens(v))] for k, v in SEEDS.items() if k not in known}
-    names = names_in([t for _, t in rows] + mine)
-    texts = _bounded(rows, {k: list(v) for k, v in start.items()}, names)
-    for _ in range(ROUNDS if mine and len(texts) > 1 else 0):
-        parser, more = Parser(texts, names), []
+    rows = [*rows, *((lang, text) for lang, text in general if lang not in known)]
+    texts = _bounded(rows)
+    for clear in CLEAR if mine and len(texts) > 1 else ():
+        parser, more = Parser(texts), []
         for text in mine:
-            found = parser.stretches(text)
-            if len(found) == 1 and found[0][2] >= STRETCH and found[0][3] >= 1 - CLEAR:
+            found = parser.stretches(text, DOUBT)
+            if len(found) == 1 and found[0][2] >= STRETCH and found[0][3] >= clear:
                 more.append((found[0][0], text))
-        texts = _bounded([*rows, *more], {k: list(v) for k, v in start.items()}, names)
-    return texts, names
+        texts = _bounded([*rows, *more])
+    return texts
 
 
 _WORKER: dict = {}
 
 
-def language_stretches(df: DataFrame, text: str, texts: dict[str, str], names: set[str] = frozenset()) -> DataFrame:
+def language_stretches(df: DataFrame, text: str, texts: dict[str, list[str]]) -> DataFrame:
     """``df`` with ``stretches ARRAY<STRUCT<lang, first, words, confidence>>`` of the whole ``text``. Null and wordless texts have
     none. Other columns pass through; an existing ``stretches`` raises ValueError."""
     if "stretches" in df.columns:
@@ -242,7 +264,7 @@ def language_stretches(df: DataFrame, text: str, texts: dict[str, str], names: s
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if _WORKER.get("token") != token:
-            _WORKER.update(token=token, parser=Parser(texts, names))
+            _WORKER.update(token=token, parser=Parser(texts))
         parser = _WORKER["parser"]
         for batch in batches:
             found = [[dict(zip(fields, s)) for s in parser.stretches(t)] for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]

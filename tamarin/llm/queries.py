@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarin.llm import language, leakage, ledger, lookalike, packing, ranking, repetition, splits, subjects
+from tamarin.llm import language, leakage, ledger, lookalike, packing, ranking, repetition, spanish, splits, subjects
 from tamarin.plans.durable import durable, shared_dir
 
 
@@ -66,11 +66,11 @@ def p4_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``segment_index`` with stretches, labelled by the example and held-out texts."""
+    """``segment_index`` with stretches, labelled by the example and held-out texts, and by general text for Spanish, which no table labels."""
     df = _table(spark, sf_dir, "segment_index")
     given = _table(spark, sf_dir, "subject_examples").select("lang", "text").unionByName(_table(spark, sf_dir, "heldout_items").select("lang", "text"))
-    texts, names = language.labelled_text(given.withColumn("lang", F.lower(F.trim("lang"))), df.select(F.col("t").alias("text")))
-    return language.language_stretches(df.select("c", "t", "m").distinct(), "t", texts, names)
+    texts = language.labelled_text(given.withColumn("lang", F.lower(F.trim("lang"))), spanish.GENERAL, df.select(F.col("t").alias("text")))
+    return language.language_stretches(df.select("c", "t", "m").distinct(), "t", texts)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
