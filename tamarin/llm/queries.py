@@ -85,20 +85,15 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("c", "t", "stretch", "s.lang", F.col("s.first").alias("first_word"), F.col("s.words").alias("n_words"), F.round("s.confidence", 4).alias("confidence")).distinct()
 
 
-def _repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.repetition(_table(spark, sf_dir, "dataset_corrected"), "id", "whisper_ht")
-
-
 def p6_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The share of repeated content of every segment, and what the learned list says of it."""
-    stats = durable(_repetition(spark, sf_dir), "repetition")
-    said = repetition.decision(repetition.fit(stats, "id"))
-    return stats.select("id", "n_words", "repeats", F.round("repeat_share", 6).alias("repeat_share"), said.alias("decision")).distinct()
+    """The share of repeated content of every segment."""
+    df = repetition.repetition(_table(spark, sf_dir, "dataset_corrected"), "id", "whisper_ht")
+    return df.select("id", "n_words", "repeats", F.round("repeat_share", 6).alias("repeat_share")).distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = durable(_repetition(spark, sf_dir), "repetition")
-    return repetition.repetitive(stats, "id", repetition.fit(stats, "id"))
+    df = _table(spark, sf_dir, "dataset_corrected").select("id", "whisper_ht")
+    return repetition.repetitive(df, "id", "whisper_ht", repetition.fit(df, "id", "whisper_ht"))
 
 
 def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,5 +171,6 @@ ORACLES: dict[str, str] = {
     "p4_sample": f"select c, {_BITS} / 4503599627370496.0 as priority from (select distinct c from segment_index where c is not null) where {_BITS} < floor(0.1 * 4503599627370496)",
     "p4_growth": f"""with k as (select c, {_BITS} as b from (select distinct c from segment_index where c is not null)), one as (select c from k where contains(c, '/lot-b/') order by b, c limit 100)
 select c, 0 as generation from one union all select c, 1 from (select c from k where c not in (select c from one) order by b, c limit 300 - (select count(*) from one))""",
+    "p6_share": _REPEATS + " select id, n::int as n_words, repeats::int as repeats, round(case when n > 0 then repeats / n else 0 end, 6) as repeat_share from r",
     "p6_found": _REPEATS + " select distinct id from r where n >= 6 and repeats * 10 >= n * 3",
 }

@@ -1,17 +1,22 @@
-"""Problem 6: how much of a text repeats earlier parts of it, and a learned decision list over such statistics.
+"""Problem 6: how much of a text repeats earlier parts of it, and a learned decision list that tells the cases.
 
 A plain word is a repeat if it belongs to a run of three or more words that has already begun earlier in the text, or equals the
-word before it. The list is learned by sequential covering from a bounded labelled sample: each rule, a conjunction of thresholds,
-is grown by information gain on two thirds of the sample, pruned on the rest, and its rows are taken away before the next one. It
-comes out as an ordered ``CASE WHEN`` over the statistics. Its thresholds lie on observed values of the covered class, so texts
-between the classes fall to no rule and are left to an exact check.
+word before it. The list decides from four statistics that one pass over the words gives: the share of distinct words, of words
+equal to the one before, of the commonest word, and of word pairs seen before. The share of repeats is not among them.
+
+The list is learned by sequential covering from a bounded sample labelled by the definition: each rule, a conjunction of thresholds,
+is grown by information gain on two thirds of the sample, pruned on the rest, and its rows are taken away before the next one. Only
+rules without an error and with SUPPORT rows enter. The list comes out as an ordered ``CASE WHEN``; what a rule holds for is decided
+by it, without another look at the text. Texts that no rule covers are measured exactly.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,53 +31,74 @@ MIN_WORDS, SHARE = 6, (3, 10)
 #: Labelled rows the list is learned from, at most: those of the lowest hash.
 SAMPLE = 4000
 
-FEATURES = ("distinct_share", "run_share", "echo_share", "top_share", "repeat_share")
-_SCHEMA = "n_words int, repeats int, distinct_share double, run_share double, echo_share double, top_share double, repeat_share double"
+#: Rows of the sample that a rule must cover.
+SUPPORT = 25
+
+FEATURES = ("distinct_share", "echo_share", "top_share", "pair_share")
 
 
-def repeats(words: list[bytes]) -> tuple[int, int, int]:
-    """Words that are repeats, start positions of runs seen before, and words equal to the one before."""
+def repeats(words: list[bytes]) -> int:
+    """Words that are repeats."""
     n = len(words)
-    hit, seen, runs, echo = bytearray(n), set(), 0, 0
+    hit, seen = bytearray(n), set()
     for i in range(n - RUN + 1):
         run = tuple(words[i : i + RUN])
         if run in seen:
             hit[i : i + RUN] = b"\1" * RUN
-            runs += 1
         else:
             seen.add(run)
     for i in range(1, n):
         if words[i] == words[i - 1]:
             hit[i] = 1
-            echo += 1
-    return sum(hit), runs, echo
+    return sum(hit)
 
 
-def _statistics(text: str | None) -> tuple:
-    words = plain_words(text)
+def statistics(words: list[bytes]) -> tuple[float, ...]:
+    """The FEATURES of a text's words."""
     n = len(words)
     if not n:
-        return 0, 0, 1.0, 0.0, 0.0, 0.0, 0.0
-    counts: dict[bytes, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    again, runs, echo = repeats(words)
-    return n, again, len(counts) / n, runs / max(1, n - RUN + 1), echo / n, max(counts.values()) / n, again / n
+        return 1.0, 0.0, 0.0, 0.0
+    counts = Counter(words)
+    echo = sum(map(eq, words, words[1:]))
+    pairs = len(set(zip(words, words[1:])))
+    return len(counts) / n, echo / n, max(counts.values()) / n, 1 - pairs / (n - 1) if n > 1 else 0.0
 
 
-def repetition(df: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per row of ``df``: ``<key>`` and the statistics of the whole ``text``. Null and blank texts have no words and share
-    0; texts below three words can only echo. Other columns are left out."""
+def _mapped(df: DataFrame, key: str, text: str, columns: str, row: Callable[[list[bytes]], tuple], keep_text: bool) -> DataFrame:
+    """``<key>`` [and the text as ``text``] and ``columns``, made of the plain words of each row's whole text."""
+    fields = [x.split() for x in columns.split(", ")]
+    kinds = [{"int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}[k] for _, k in fields]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_statistics(t) for t in batch.column(1).to_pylist()]
-            cols = list(zip(*rows)) or [()] * 7
-            kinds = [pa.int32(), pa.int32(), *[pa.float64()] * 5]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], [key, *(x.split()[0] for x in _SCHEMA.split(", "))])
+            rows = [row(plain_words(t)) for t in batch.column(1).to_pylist()]
+            cols = list(zip(*rows)) or [()] * len(kinds)
+            given = batch.columns if keep_text else batch.columns[:1]
+            yield pa.RecordBatch.from_arrays([*given, *(pa.array(c, k) for c, k in zip(cols, kinds))], [*(("key", "text")[: len(given)]), *(f for f, _ in fields)])
+
+    one = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    kind = dict(one.dtypes)["key"]
+    return one.mapInArrow(run, f"`key` {kind}, " + ("text string, " if keep_text else "") + columns)
+
+
+_STATISTICS = "n_words int, " + ", ".join(f"{f} double" for f in FEATURES)
+
+
+def text_statistics(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``key, text, n_words`` and the FEATURES of every row."""
+    return _mapped(df, key, text, _STATISTICS, lambda w: (len(w), *statistics(w)), True)
+
+
+def repetition(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per row of ``df``: ``<key>, n_words, repeats, repeat_share`` and the FEATURES of the whole ``text``. Null and blank
+    texts have no words and share 0; texts below three words can only echo. Other columns are left out."""
+    measure = lambda w: (len(w), r := repeats(w), r / len(w) if w else 0.0, *statistics(w))
+    columns = "n_words int, repeats int, repeat_share double, " + ", ".join(f"{f} double" for f in FEATURES)
+    return _mapped(df, key, text, columns, measure, False).withColumnRenamed("key", key)
+
 
-    kind = dict(df.dtypes)[key]
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, {_SCHEMA}")
+def is_case(n: int, again: int) -> bool:
+    return n >= MIN_WORDS and again * SHARE[1] >= n * SHARE[0]
 
 
 @dataclass(frozen=True)
@@ -129,8 +155,9 @@ def _prune(conditions: tuple, rows: list[dict], label: str) -> tuple:
     return conditions
 
 
-def learn_decision_list(rows: list[dict], labels: tuple[str, ...]) -> list[Rule]:
-    """Sequential covering for ``labels`` in turn; ``rows`` hold the features and ``label``. Deterministic for a set of rows."""
+def learn_decision_list(rows: list[dict], labels: tuple[str, ...], support: int = SUPPORT) -> list[Rule]:
+    """Sequential covering for ``labels`` in turn; ``rows`` hold the features and ``label``. A label's rules end with the first that
+    covers fewer than ``support`` rows or errs. Deterministic for a set of rows."""
     rows = sorted(rows, key=lambda r: tuple(r[f] for f in FEATURES))
     out: list[Rule] = []
     for label in labels:
@@ -143,7 +170,7 @@ def learn_decision_list(rows: list[dict], labels: tuple[str, ...]) -> list[Rule]
                 break
             rule = Rule(label, c)
             hit = [r for r in left if rule.holds(r)]
-            if not hit or any(r["label"] != label for r in hit):
+            if len(hit) < support or any(r["label"] != label for r in hit):
                 break
             out.append(rule)
             left = [r for r in left if not rule.holds(r)]
@@ -158,23 +185,23 @@ def decision(rules: list[Rule], default: str = "uncertain") -> Column:
     return F.lit(default) if out is None else out.otherwise(default)
 
 
-def certain(rule: Rule) -> bool:
-    """Whether the definition itself bears out a "clean" rule: a repeat is a word seen before, so the share of repeats is at most 1
-    less the share of distinct words."""
-    limit = SHARE[0] / SHARE[1]
-    return rule.label != "clean" or any((f == "repeat_share" and up and t < limit) or (f == "distinct_share" and not up and t > 1 - limit) for f, up, t in rule.conditions)
+def fit(df: DataFrame, key: str, text: str) -> list[Rule]:
+    """Learn the list from at most ``SAMPLE`` rows of ``df`` of MIN_WORDS words or more, those of the lowest hash of key and text,
+    labelled by the definition."""
+    rows = df.where(F.col(text).isNotNull()).orderBy(F.xxhash64(key, text), key, text).limit(SAMPLE)
+    sample = repetition(rows, key, text).where(F.col("n_words") >= MIN_WORDS).select("n_words", "repeats", *FEATURES).collect()
+    return learn_decision_list([{f: r[f] for f in FEATURES} | {"label": "repetitive" if is_case(r["n_words"], r["repeats"]) else "clean"} for r in sample], ("repetitive", "clean"))
 
 
-def fit(stats: DataFrame, key: str) -> list[Rule]:
-    """Learn the list from at most ``SAMPLE`` rows of ``stats``, those of the lowest hash of the key."""
-    rows = stats.where(F.col("n_words") >= MIN_WORDS).select(F.col(key).alias("key"), *FEATURES, (F.col("repeats") * SHARE[1] >= F.col("n_words") * SHARE[0]).alias("case"))
-    sample = rows.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).collect()
-    return learn_decision_list([{f: r[f] for f in FEATURES} | {"label": "repetitive" if r["case"] else "clean"} for r in sample], ("repetitive", "clean"))
+def decided(df: DataFrame, key: str, text: str, rules: list[Rule]) -> DataFrame:
+    """``key, text, said`` of the rows of MIN_WORDS words or more: "repetitive" and "clean" as the list has it, else "uncertain"."""
+    return text_statistics(df, key, text).where(F.col("n_words") >= MIN_WORDS).select("key", "text", decision(rules).alias("said"))
 
 
-def repetitive(stats: DataFrame, key: str, rules: list[Rule]) -> DataFrame:
-    """Keys of the cases among ``stats``: what the list calls repetitive or leaves open, confirmed by the definition. A null key is
-    no case."""
-    said = decision([r for r in rules if certain(r)])
-    found = stats.where(F.col(key).isNotNull()).withColumn("said", said).where("said <> 'clean'")
-    return found.where((F.col("n_words") >= MIN_WORDS) & (F.col("repeats") * SHARE[1] >= F.col("n_words") * SHARE[0])).select(key).distinct()
+def repetitive(df: DataFrame, key: str, text: str, rules: list[Rule]) -> DataFrame:
+    """Distinct keys of the cases among ``df``: what the list calls repetitive, and of what it leaves open those that the definition
+    calls so. A null key is no case; null, blank and short texts are none."""
+    said = decided(df.where(F.col(key).isNotNull()), key, text, rules).where("said <> 'clean'")
+    # a row that the list decides goes on without its text
+    left = said.select("key", F.when(F.col("said") == "uncertain", F.col("text")).alias("text"))
+    return _mapped(left, "key", "text", "found boolean", lambda w: (not w or is_case(len(w), repeats(w)),), False).where("found").select(F.col("key").alias(key)).distinct()
