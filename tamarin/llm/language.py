@@ -18,11 +18,14 @@ import re
 import unicodedata
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamarin.llm.words import IGNORABLE
+
 #: Characters of labelled text that an automaton holds at most.
 PER_LANGUAGE = 60_000
 #: Rows of the corpus looked at for more labelled text.
@@ -52,8 +55,13 @@ def tokens(text: str | None) -> list[str]:
     """The words of ``text`` as they are parsed: lower case, composed accents, apostrophes kept at the end of elided words."""
     if not text:
         return []
-    t = "".join(ch for ch in unicodedata.normalize("NFC", text.lower().replace("’", "'")) if unicodedata.category(ch) not in ("Cf", "Mn"))
-    return [w for w in _KEEP.sub(" ", t).replace("'", "' ").split() if w != "'"]
+    t = text.lower()
+    if not t.isascii():
+        t = unicodedata.normalize("NFC", t.replace("’", "'"))
+        if nothing := [ch for ch in set(t) if IGNORABLE[ch]]:
+            t = t.translate(dict.fromkeys(map(ord, nothing)))
+    t = _KEEP.sub(" ", t)
+    return [w for w in t.replace("'", "' ").split() if w != "'"] if "'" in t else t.split()
 
 
 _CAPITAL = re.compile(r"[^\W\d_]{2,}")
@@ -67,44 +75,41 @@ def capitals(text: str) -> set[str]:
 
 
 class Automaton:
-    """All stretches of a sequence, in one pass."""
+    """All stretches of a sequence, in one pass. A state is the table of its next states."""
 
     def __init__(self, sequence: Iterable):
-        nxt: list[dict] = [{}]
-        link, length = [-1], [0]
-        last = 0
+        self.start: dict = {}
+        link, length = {id(self.start): None}, {id(self.start): 0}
+        states = [self.start]  # keeps their ids apart
+
+        def state(known: dict, size: int, up: dict) -> dict:
+            states.append(known)
+            length[id(known)], link[id(known)] = size, up
+            return known
+
+        last = self.start
         for x in sequence:
-            cur = len(nxt)
-            nxt.append({})
-            length.append(length[last] + 1)
-            link.append(0)
+            cur = state({}, length[id(last)] + 1, self.start)
             p = last
-            while p >= 0 and x not in nxt[p]:
-                nxt[p][x] = cur
-                p = link[p]
-            if p >= 0:
-                q = nxt[p][x]
-                if length[p] + 1 == length[q]:
-                    link[cur] = q
+            while p is not None and x not in p:
+                p[x] = cur
+                p = link[id(p)]
+            if p is not None:
+                q = p[x]
+                if length[id(p)] + 1 == length[id(q)]:
+                    link[id(cur)] = q
                 else:
-                    clone = len(nxt)
-                    nxt.append(dict(nxt[q]))
-                    length.append(length[p] + 1)
-                    link.append(link[q])
-                    while p >= 0 and nxt[p].get(x) == q:
-                        nxt[p][x] = clone
-                        p = link[p]
-                    link[q] = link[cur] = clone
+                    clone = state(dict(q), length[id(p)] + 1, link[id(q)])
+                    while p is not None and p.get(x) is q:
+                        p[x] = clone
+                        p = link[id(p)]
+                    link[id(q)] = link[id(cur)] = clone
             last = cur
-        self.next = nxt
 
     def longest(self, sequence, i: int) -> int:
         """Length of the longest stretch from ``i`` on."""
-        nxt, s, j, n = self.next, 0, i, len(sequence)
-        while j < n:
-            s = nxt[s].get(sequence[j])
-            if s is None:
-                break
+        s, j, n = self.start, i, len(sequence)
+        while j < n and (s := s.get(sequence[j])) is not None:
             j += 1
         return j - i
 
@@ -114,36 +119,39 @@ class Language:
 
     def __init__(self, texts: list[list[str]]):
         words = [w for t in texts for w in (*t, "|")]
-        self.words = Automaton(words)
+        self.start = Automaton(words).start
         self.pieces = Automaton(" " + " ".join(dict.fromkeys(words)) + " ")
-        self.start = self.words.next[0]
         self.size = math.log2(2 + sum(map(len, words)))
         self.weight = 1.0
         self.seen: dict[str, float] = {}
 
     def unknown(self, word: str) -> float:
         """Phrases that a word never seen counts as: the more, the more pieces it takes."""
-        if (known := self.seen.get(word)) is None:
-            if len(self.seen) >= CACHE:
-                self.seen.clear()
-            w, i, c = f" {word} ", 0, 0
-            while i < len(w):
-                i += max(1, self.pieces.longest(w, i))
-                c += 1
-            self.seen[word] = known = (UNKNOWN + PIECE * c) * self.weight
-        return known
+        if len(self.seen) >= CACHE:
+            self.seen.clear()
+        w, i, c = f" {word} ", 0, 0
+        while i < len(w):
+            i += max(1, self.pieces.longest(w, i))
+            c += 1
+        self.seen[word] = cost = (UNKNOWN + PIECE * c) * self.weight
+        return cost
 
     def phrases(self, words: list[str]) -> list[float]:
         """Each word's share of the phrases."""
-        out, i, n, start = [], 0, len(words), self.start
-        while i < n:
-            if words[i] not in start:
-                out.append(self.unknown(words[i]))
-                i += 1
-                continue
-            k = self.words.longest(words, i)
-            out.extend([self.weight / k] * k)
-            i += k
+        start, weight, seen, out = self.start, self.weight, self.seen, []
+        state, k = start, 0
+        for w in words:
+            after = state.get(w)
+            if after is None and k:
+                out += [weight / k] * k
+                after, k = start.get(w), 0
+            if after is None:
+                out.append(seen.get(w) or self.unknown(w))
+                state = start
+            else:
+                state, k = after, k + 1
+        if k:
+            out += [weight / k] * k
         return out
 
 
@@ -162,13 +170,13 @@ class Parser:
     def costs(self, words: list[str], names: set[str] = frozenset()) -> list[list[float]]:
         """Phrases per language and word. Names, the words with a capital that no language knows, count nothing."""
         use = self.plain if sum(map(str.isascii, words)) * RARE >= len(words) * (RARE - 1) else self.accented
-        names = [i for i, w in enumerate(words) if w in names and not any(w in x.start for x in use)] if names else ()
-        out = []
-        for x in use:
-            own = x.phrases(words)
-            for i in names:
-                own[i] = 0.0
-            out.append(own)
+        out = [x.phrases(words) for x in use]
+        for name in names:
+            if not any(name in x.start for x in use):
+                for i, w in enumerate(words):
+                    if w == name:
+                        for own in out:
+                            own[i] = 0.0
         return out
 
     def stretches(self, text: str | None, switch: float = SWITCH) -> list[tuple[str, int, int, float]]:
@@ -180,12 +188,12 @@ class Parser:
     def _stretches(self, words: list[str], names: set[str], switch: float) -> list[tuple[str, int, int, float]]:
         cost = self.costs(words, names)
         k, n = len(cost), len(words)
-        sums = [sum(c) for c in cost]
-        x = min(range(k), key=sums.__getitem__)
-        if sums[x] <= sum(map(min, zip(*cost))) + switch:  # no change of language can save what it costs
-            path = [x] * n
-        else:
-            path = _path(cost, k, n, switch)
+        sums = list(map(sum, cost))
+        x = sums.index(min(sums))
+        if k == 1 or sums[x] <= sum(map(min, *cost)) + switch:  # no change of language can save what it costs
+            rest = min(sums[:x] + sums[x + 1 :], default=0.0)
+            return [(self.languages[x], 0, n, max(0.0, 1 - sums[x] / rest) if rest > 0 else 0.0)]
+        path = _path(cost, k, n, switch)
         out, a = [], 0
         for b in range(1, n + 1):
             if b == n or path[b] != path[a]:
@@ -259,16 +267,19 @@ def language_stretches(df: DataFrame, text: str, texts: dict[str, list[str]]) ->
     none. Other columns pass through; an existing ``stretches`` raises ValueError."""
     if "stretches" in df.columns:
         raise ValueError("column exists already: stretches")
-    token, kind = uuid.uuid4().hex, pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int32()), ("words", pa.int32()), ("confidence", pa.float64())]))
-    fields = ("lang", "first", "words", "confidence")
+    token = uuid.uuid4().hex
+    kinds = {"lang": pa.string(), "first": pa.int32(), "words": pa.int32(), "confidence": pa.float64()}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if _WORKER.get("token") != token:
             _WORKER.update(token=token, parser=Parser(texts))
         parser = _WORKER["parser"]
         for batch in batches:
-            found = [[dict(zip(fields, s)) for s in parser.stretches(t)] for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], [*batch.schema.names, "stretches"])
+            found = [parser.stretches(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            ends = pa.array([0, *accumulate(map(len, found))], pa.int32())
+            columns = list(zip(*chain.from_iterable(found))) or [()] * len(kinds)
+            flat = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(ends, flat)], [*batch.schema.names, "stretches"])
 
     schema = ", ".join(f"`{c}` {k}" for c, k in df.dtypes) + ", stretches array<struct<lang: string, first: int, words: int, confidence: double>>"
     return df.mapInArrow(run, schema)
