@@ -13,6 +13,7 @@ of lowest hash, are then added to their language's text, round by round, so that
 
 from __future__ import annotations
 
+import gc
 import math
 import re
 import unicodedata
@@ -141,15 +142,17 @@ class Language:
         start, weight, seen, out = self.start, self.weight, self.seen, []
         state, k = start, 0
         for w in words:
-            after = state.get(w)
-            if after is None and k:
+            if w in state:
+                state, k = state[w], k + 1
+                continue
+            if k:
                 out += [weight / k] * k
-                after, k = start.get(w), 0
-            if after is None:
-                out.append(seen.get(w) or self.unknown(w))
+                k = 0
+                if w in start:
+                    state, k = start[w], 1
+                    continue
                 state = start
-            else:
-                state, k = after, k + 1
+            out.append(seen[w] if w in seen else self.unknown(w))
         if k:
             out += [weight / k] * k
         return out
@@ -272,7 +275,10 @@ def language_stretches(df: DataFrame, text: str, texts: dict[str, list[str]]) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if _WORKER.get("token") != token:
+            gc.disable()  # many small tables, all kept
             _WORKER.update(token=token, parser=Parser(texts))
+            gc.freeze()
+            gc.enable()
         parser = _WORKER["parser"]
         for batch in batches:
             found = [parser.stretches(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
