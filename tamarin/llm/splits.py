@@ -1,9 +1,14 @@
 """Problem 3: records of one split that come back, exactly or nearly, in another.
 
-Winnowing over word sequences: the rolling hashes of all three-word runs are ordered rarest first, and each record selects the
-minima of its whole window, as many as the edit budget may destroy and one more. Two records within the budget then share a
-selected fingerprint, at positions no further apart than the budget. Fingerprints are joined across splits, seeds off the diagonal
-band are dropped, and the rest is extended by alignment: a bounded edit distance over hashed words, then over the words.
+Winnowing over word sequences. Every run of RUN words has a rolling hash; a window slides over the runs and the minimum of each window
+is a record's fingerprint. Two records of at most one word in BUDGET differing share a stretch of equal words, and the window is as
+wide as that stretch's length allows, so they share a fingerprint for certain. The order that minima are taken in is by how common a
+run is, roughly, and then by its hash (weighted minimizers): any order keeps the promise, this one leaves out the runs that everyone
+has. How common a run is comes from a sketch of fixed size over all records.
+
+Fingerprints are joined across splits, common ones in slices. A seed counts if it lies near the diagonal and grows to a stretch as long
+as the promised one, and if the hashed words of both records are within the budget. The seeds of a pair are chained: the longest
+collinear chain, extended word by word, gives the covered words; the words between are aligned, which gives the exact distance.
 
 Records with the same words form one class before anything is joined; classes are compared, members come back at the end.
 """
@@ -12,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -24,89 +30,260 @@ from tamarin.plans.durable import durable
 RUN = 3
 #: At most one word in BUDGET of the longer record differs.
 BUDGET = 5
+#: Cells of the sketch that counts runs: 65,536 numbers, whatever the tables' size.
+SKETCH = 1 << 16
+#: A run in one of RARE is common: it comes later in the order, by powers of two.
+RARE = 20_000
+#: A run's rows are dealt to one slice more for each such share of all runs that it has.
+SLICES = 1024
+#: Runs of a batch that are hashed at once, and words kept in a worker's cache.
+CACHE = 500_000
 
+_B = np.uint64(0x9E3779B97F4A7C15)
+
+
+class _Ids(dict):
+    """The 64-bit hash of a word, kept while the cache lasts."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = out = xxhash.xxh3_64_intdigest(word)
+        return out
+
+
+_IDS = _Ids()
+
+
+def clean_run(n: int) -> int:
+    """Equal words in a row that a record of n words is sure to share with any record within the budget, unless it is its copy."""
+    return min(-(-(m - m // BUDGET) // (m // BUDGET + 1)) for m in range(n, n * BUDGET // (BUDGET - 1) + 1))
 
-def _letter(word: bytes) -> str:
-    """One character for a word, by its hash: equal words get equal characters, so the distance of two such strings never exceeds
-    that of the word sequences."""
-    return chr(0x3400 + xxhash.xxh32_intdigest(word) % 0xA000)
 
+#: Records of at least LONG words have windows of two runs, as their clean stretches have RUN + 1 words; shorter ones give every run.
+LONG = 16
 
-def minima(n: int) -> int:
-    """How many of its n-2 rarest fingerprints a record of n words must select to share one with any record of at least as many
-    words, or as few, within the budget."""
-    return max(n - m + RUN * (m // BUDGET) + 1 for m in range(n, n * BUDGET // (BUDGET - 1) + 1))
 
+def rolling(ids: np.ndarray, run: int) -> np.ndarray:
+    """The rolling (polynomial) hash of every run of ``run`` words, its bits mixed so that its order is arbitrary."""
+    n = len(ids) - run + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        h = np.full(n, run, np.uint64)
+        for k in range(run):
+            h = h * _B + ids[k : k + n]
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return h
 
-def _wanted(n: Column) -> Column:
-    """``minima`` as an expression. Its maximum lies at m = n or at the next multiple of BUDGET."""
-    nxt = (F.floor(n / BUDGET) + 1) * BUDGET
-    at = lambda m: n - m + RUN * F.floor(m / BUDGET) + 1
-    return F.greatest(at(n), F.when(nxt <= F.floor(n * BUDGET / (BUDGET - 1)), at(nxt)).otherwise(0))
+
+def _runs(words: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the runs inside the records of a batch: hash, record, position."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ids = np.fromiter((_IDS[w] for x in words for w in x), np.uint64, int(sizes.sum()))
+    h = rolling(ids, run)
+    which = np.repeat(np.arange(len(words)), sizes)[: len(h)]
+    pos = np.arange(len(h)) - (np.cumsum(sizes) - sizes)[which]
+    ok = pos + run <= sizes[which]
+    return h[ok], which[ok], pos[ok]
+
+
+def winnow(h: np.ndarray, which: np.ndarray, long: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Which runs are fingerprints: the minima of every window of two runs of a long record, all of a short one's."""
+    order = level[(h & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | h >> np.uint64(8)
+    same = which[1:] == which[:-1]
+    least = ~long[which]
+    least[:-1] |= same & (order[:-1] <= order[1:])
+    least[1:] |= same & (order[1:] <= order[:-1])
+    return least
+
+
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Of each cell of the sketch, how common its runs are."""
+    return np.floor(np.log2(1 + counts * (RARE / max(1, counts.sum())))).astype(np.uint8)
+
+
+def slices(counts: np.ndarray) -> np.ndarray:
+    """Of each cell, the slices that its runs' rows are dealt to."""
+    over = np.maximum(0, counts - 2 * counts.mean() - RARE)
+    return (1 + np.floor(over * (SLICES / max(1, counts.sum())))).astype(np.int64)
+
+
+def _letters(words: list[str]) -> str:
+    """One character for each word, by its hash: equal words get equal characters, so the distance of two such strings never exceeds
+    that of the word sequences."""
+    return "".join([chr(33 + _IDS[w] % 94) for w in words])
 
 
 def word_classes(df: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
-    """``key, keep..., form BINARY, words ARRAY<STRING>, letters STRING, n INT``; ``form`` identifies the word sequence. Records
-    without words are left out."""
+    """``key, keep..., form BINARY, words STRING, n INT``; ``form`` identifies the word sequence, ``words`` is parted by spaces.
+    Records without words are left out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [plain_words(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            out = [pa.array([xxhash.xxh3_128_digest(b" ".join(w)) for w in words], pa.binary()), pa.array([[x.decode() for x in w] for w in words], pa.list_(pa.string())), pa.array(["".join(map(_letter, w)) for w in words], pa.string()), pa.array([len(w) for w in words], pa.int32())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], [*batch.schema.names[:-1], "form", "words", "letters", "n"])
+            whole = [b" ".join(w) for w in words]
+            out = [pa.array([xxhash.xxh3_128_digest(w) for w in whole], pa.binary()), pa.array([w.decode() for w in whole], pa.string()), pa.array([len(w) for w in words], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], [*batch.schema.names[:-1], "form", "words", "n"])
 
     kinds = dict(df.dtypes)
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [key, *keep]) + ", form binary, words array<string>, letters string, n int"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [key, *keep]) + ", form binary, words string, n int"
     return df.select(key, *keep, text).mapInArrow(run, schema).where("n > 0")
 
 
-def _seeds(classes: DataFrame) -> DataFrame:
-    """The selected fingerprints of each class: ``form, side, letters, n, gram, pos``. A run that occurs again in a record counts as
-    another fingerprint. Records of four or five words, whose three-word runs one change may all destroy, also give single words."""
-    runs = F.when(F.col("n") >= RUN, F.transform(F.sequence(F.lit(1), F.greatest(F.col("n") - RUN + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, RUN)))).otherwise(F.array().cast("array<bigint>"))
-    ones = F.when(F.col("n").between(BUDGET - 1, BUDGET), F.transform("words", lambda w: F.xxhash64(F.lit("word"), w))).otherwise(F.array().cast("array<bigint>"))
-    every = classes.select("form", "letters", "n", "train", "eval", F.posexplode(F.concat(runs, ones)).alias("i", "gram"))
-    freq = every.groupBy("gram").agg(F.count("*").alias("f"), F.bool_or("train").alias("in_train"), F.bool_or("eval").alias("in_eval"))
-    graded = every.join(freq, "gram")
-    # one row per record again, its fingerprints rarest first; those of one side only cannot meet, yet count among the minima
-    one = graded.groupBy("form", "letters", "n", "train", "eval").agg(F.sort_array(F.collect_list(F.struct("f", "gram", "i", (F.col("in_train") & F.col("in_eval")).alias("both")))).alias("grams"))
-    size = F.greatest(F.col("n") - RUN + 1, F.lit(0))
-    chosen = F.concat(F.slice(F.filter("grams", lambda g: g.i < size), F.lit(1), _wanted(F.col("n")).cast("int")), F.filter("grams", lambda g: g.i >= size))
-    return one.select("form", "letters", "n", "train", "eval", F.explode(chosen).alias("g")).where("g.both").select(
-        "form", "letters", "n", "train", "eval", F.col("g.gram").alias("gram"), F.when(F.col("g.i") >= size, F.col("g.i") - size).otherwise(F.col("g.i")).alias("pos")
-    )
+def _counts(classes: DataFrame) -> np.ndarray:
+    """The sketch: how many runs of all classes fall into each cell. Each task adds up its own; SKETCH sums reach the driver."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SKETCH, np.int64)
+        for batch in batches:
+            h, _, _ = _runs([w.split(" ") for w in batch.column(0).to_pylist()], RUN)
+            total += np.bincount((h & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], ["cell", "n"])
+
+    out = np.zeros(SKETCH, np.int64)
+    for r in classes.select("words").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r["cell"]] = r["n"]
+    return out
+
+
+def _fingerprints(classes: DataFrame, level: np.ndarray, parts: np.ndarray, every: bool) -> DataFrame:
+    """The fingerprints of each class: ``gram, form, n, pos, near, letters``. ``near`` holds a byte of the word before and after the
+    run. Common runs stand in one of their slices, or in each with ``every``. Records of four or five words, whose three-word runs
+    one change may all destroy, also give runs of two."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [w.split(" ") for w in batch.column(1).to_pylist()]
+            n = np.fromiter(map(len, words), np.int64, len(words))
+            h, which, pos = _runs(words, RUN)
+            ok = winnow(h, which, n >= LONG, level)
+            h, which, pos, width = h[ok], which[ok], pos[ok], np.full(int(ok.sum()), RUN)
+            few = np.flatnonzero((n >= BUDGET - 1) & (n <= BUDGET))
+            if len(few):
+                h2, which2, pos2 = _runs([words[i] for i in few], 2)
+                h, which, pos, width = np.r_[h, h2], np.r_[which, few[which2]], np.r_[pos, pos2], np.r_[width, np.full(len(h2), 2)]
+            near = [(_IDS[words[i][p - 1]] % 255 + 1 if p else 0) << 8 | (_IDS[words[i][p + k]] % 255 + 1 if p + k < len(words[i]) else 0) for i, p, k in zip(which.tolist(), pos.tolist(), width.tolist())]
+            many = parts[(h & np.uint64(SKETCH - 1)).astype(np.int64)]
+            if every:
+                row = np.repeat(np.arange(len(h)), many)
+                part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            else:
+                row = np.arange(len(h))
+                part = np.fromiter((int.from_bytes(x.as_py()[:4]) for x in batch.column(0)), np.int64, len(words))[which] % many
+            with np.errstate(over="ignore"):
+                gram = h[row] + part.astype(np.uint64) * _B
+            take = pa.array(which[row])
+            letters = pa.array([_letters(w) for w in words], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(gram.view(np.int64)), batch.column(0).take(take), pa.array(n[which[row]], pa.int32()), pa.array(pos[row], pa.int32()), pa.array(np.array(near, np.int64)[row], pa.int32()), letters.take(take)],
+                ["gram", "form", "n", "pos", "near", "letters"],
+            )
+
+    return classes.select("form", "words").mapInArrow(run, "gram long, form binary, n int, pos int, near int, letters string")
 
 
 def budget(n: Column, m: Column) -> Column:
     return F.floor(F.greatest(n, m) / BUDGET).cast("int")
 
 
-def word_distance(a: Column, b: Column) -> Column:
-    """Exact word edit distance in the JVM: each distinct word of the pair becomes one character. For up to 20,000 distinct words."""
-    words = F.array_distinct(F.concat(a, b))
-    code = lambda x: F.array_join(F.transform(x, lambda w: F.decode(F.unhex(F.hex(F.lit(0x4E00) + F.array_position(words, w))), "UTF-16BE")), "")
-    return F.levenshtein(code(a), code(b))
+def chain(seeds: list[tuple[int, int]], a: list[str], b: list[str]) -> int:
+    """Words of ``a`` covered by the longest collinear chain of seeds (positions in both, of runs), each grown as far as words are
+    equal. Seeds on one diagonal whose stretches meet are one stretch."""
+    spans: list[tuple[int, int, int]] = []
+    for i, j in sorted(set(seeds)):
+        if any(i - x == j - y and x <= i < x + k for x, y, k in spans):
+            continue
+        x, y, k = i, j, 0
+        while x and y and a[x - 1] == b[y - 1]:
+            x, y, k = x - 1, y - 1, k + 1
+        while x + k < len(a) and y + k < len(b) and a[x + k] == b[y + k]:
+            k += 1
+        spans.append((x, y, k))
+    best: list[int] = []
+    spans.sort()
+    for s, (x, y, k) in enumerate(spans):
+        # a stretch that begins inside the one before counts for the words beyond it
+        best.append(k)
+        for t in range(s):
+            u, v, m = spans[t]
+            over = max(0, u + m - x, v + m - y)
+            if u < x and v < y and over < k:
+                best[s] = max(best[s], best[t] + k - over)
+    return max(best, default=0)
+
+
+def distance(a: list[str], b: list[str], most: int) -> int:
+    """The word edit distance, or ``most + 1`` where it is larger: bands of the table around its diagonal, row by row."""
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    k = 0
+    while k < min(len(a), len(b)) and a[k] == b[k]:
+        k += 1
+    a, b = a[k:], b[k:]
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    code = {w: i for i, w in enumerate(dict.fromkeys([*a, *b]))}
+    x, y = [code[w] for w in a], np.fromiter((code[w] for w in b), np.int64, len(b))
+    steps = np.arange(len(b) + 1)
+    row = steps.copy()
+    for i, w in enumerate(x, 1):
+        lo, hi = max(1, i - most), min(len(b), i + most)
+        new = np.full(len(b) + 1, most + 1)
+        if i <= most:
+            new[0] = i
+        new[lo : hi + 1] = np.minimum(row[lo : hi + 1] + 1, row[lo - 1 : hi] + (y[lo - 1 : hi] != w))
+        new[lo - 1 : hi + 1] = np.minimum.accumulate(new[lo - 1 : hi + 1] - steps[lo - 1 : hi + 1]) + steps[lo - 1 : hi + 1]
+        row = np.minimum(new, most + 1)
+        if row.min() > most:
+            return most + 1
+    return int(row[-1])
+
+
+def _aligned(pairs: DataFrame) -> DataFrame:
+    """``eval_form, train_form, seeds, wa, wb`` to ``eval_form, train_form, edits, coverage`` of the pairs within the budget."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep, edits, covered = [], [], []
+            for r, (seeds, wa, wb) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
+                a, b = wa.split(" "), wb.split(" ")
+                most = max(len(a), len(b)) // BUDGET
+                if (d := distance(a, b, most)) <= most:
+                    keep.append(r)
+                    edits.append(d)
+                    covered.append(chain([(s["pa"], s["pb"]) for s in seeds], a, b) / len(a))
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(edits, pa.int32()), pa.array(covered, pa.float64())], ["eval_form", "train_form", "edits", "coverage"])
+
+    return pairs.mapInArrow(run, "eval_form binary, train_form binary, edits int, coverage double")
 
 
 def class_overlaps(classes: DataFrame) -> DataFrame:
-    """Pairs of an eval class and a train class within the budget: ``eval_form, train_form, edits, n_eval, n_train, letters...``.
-    ``classes``: ``form, words, letters, n, train BOOLEAN, eval BOOLEAN``, one row per word sequence."""
-    seeds = durable(_seeds(classes), "fingerprints")
-    a = seeds.where("eval").select("gram", F.col("pos").alias("pa"), F.col("form").alias("eval_form"), F.col("letters").alias("la"), F.col("n").alias("na"))
-    b = seeds.where("train").select("gram", F.col("pos").alias("pb"), F.col("form").alias("train_form"), F.col("letters").alias("lb"), F.col("n").alias("nb"))
-    most = budget(F.col("na"), F.col("nb"))
-    met = a.join(b, "gram").where((F.abs(F.col("na") - F.col("nb")) <= most) & (F.abs(F.col("pa") - F.col("pb")) <= most) & (F.col("eval_form") != F.col("train_form")))
-    close = met.where((F.levenshtein("la", "lb") <= most)).select("eval_form", "train_form").distinct()
+    """Pairs of an eval class and a train class within the budget: ``eval_form, train_form, edits, coverage``. ``classes``: ``form,
+    words, n, train BOOLEAN, eval BOOLEAN``, one row per word sequence."""
+    counts = _counts(classes)
+    level, parts = levels(counts), slices(counts)
+    a = _fingerprints(classes.where("eval"), level, parts, True).select("gram", *(F.col(c).alias(f"{c}_a") for c in ("form", "n", "pos", "near", "letters")))
+    b = _fingerprints(classes.where("train"), level, parts, False).select("gram", *(F.col(c).alias(f"{c}_b") for c in ("form", "n", "pos", "near", "letters")))
+    met = a.join(b, "gram").withColumn("most", budget(F.col("n_a"), F.col("n_b")))
+    near = (F.abs(F.col("n_a") - F.col("n_b")) <= F.col("most")) & (F.abs(F.col("pos_a") - F.col("pos_b")) <= F.col("most")) & (F.col("form_a") != F.col("form_b"))
+    both = F.col("near_a").bitwiseXOR(F.col("near_b"))  # a byte is 0 where the words are equal
+    grows = (F.greatest("n_a", "n_b") < LONG) | ((both.bitwiseAND(0xFF) == 0) & (F.col("near_a").bitwiseAND(0xFF) != 0)) | ((both.bitwiseAND(0xFF00) == 0) & (F.col("near_a").bitwiseAND(0xFF00) != 0))
+    seeds = met.where(near).where(grows).where(F.expr("levenshtein(letters_a, letters_b, most) >= 0"))
+    # as many seeds a pair as the records have fingerprints
+    pairs = seeds.groupBy(F.col("form_a").alias("eval_form"), F.col("form_b").alias("train_form")).agg(F.collect_set(F.struct(F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))).alias("seeds"))
     w = classes.select("form", "words")
-    both = close.join(w.select(F.col("form").alias("eval_form"), F.col("words").alias("wa")), "eval_form").join(w.select(F.col("form").alias("train_form"), F.col("words").alias("wb")), "train_form")
-    near = both.withColumn("edits", word_distance(F.col("wa"), F.col("wb"))).where(F.col("edits") <= budget(F.size("wa"), F.size("wb")))
-    near = near.select("eval_form", "train_form", "edits", F.size("wa").alias("n_eval"), F.size("wb").alias("n_train"))
-    same = classes.where("eval and train").select(F.col("form").alias("eval_form"), F.col("form").alias("train_form"), F.lit(0).alias("edits"), F.col("n").alias("n_eval"), F.col("n").alias("n_train"))
-    return near.unionByName(same)
+    close = pairs.join(w.select(F.col("form").alias("eval_form"), F.col("words").alias("wa")), "eval_form").join(w.select(F.col("form").alias("train_form"), F.col("words").alias("wb")), "train_form")
+    same = classes.where("eval and train").select(F.col("form").alias("eval_form"), F.col("form").alias("train_form"), F.lit(0).alias("edits"), F.lit(1.0).alias("coverage"))
+    return _aligned(close.select("eval_form", "train_form", "seeds", "wa", "wb")).unionByName(same)
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("form").agg(F.first("words").alias("words"), F.first("letters").alias("letters"), F.first("n").alias("n"), F.bool_or(F.col("split") == "train").alias("train"), F.bool_or(F.col("split") != "train").alias("eval"))
+    return rows.groupBy("form").agg(F.first("words").alias("words"), F.first("n").alias("n"), F.bool_or(F.col("split") == "train").alias("train"), F.bool_or(F.col("split") != "train").alias("eval"))
 
 
 def split_records(splits: dict[str, DataFrame], key: str, text: str, source: str) -> DataFrame:
@@ -121,19 +298,19 @@ def split_records(splits: dict[str, DataFrame], key: str, text: str, source: str
 
 def overlaps(rows: DataFrame) -> DataFrame:
     """Member pairs from ``split_records``: ``eval_key, eval_split, eval_source, train_key, train_source, edits, coverage``.
-    ``coverage`` is the share of the eval record's words that the alignment leaves untouched, at least 0."""
+    ``coverage`` is the share of the eval record's words that the chain of equal stretches covers."""
     classes = durable(_classes(rows), "classes")
     pairs = class_overlaps(classes)
     e = rows.where("split <> 'train' and key is not null").select(F.col("form").alias("eval_form"), F.col("key").alias("eval_key"), F.col("split").alias("eval_split"), F.col("source").alias("eval_source"))
     t = rows.where("split = 'train' and key is not null").select(F.col("form").alias("train_form"), F.col("key").alias("train_key"), F.col("source").alias("train_source"))
-    return pairs.join(e, "eval_form").join(t, "train_form").select("eval_key", "eval_split", "eval_source", "train_key", "train_source", "edits", F.greatest(F.lit(0.0), 1 - F.col("edits") / F.col("n_eval")).alias("coverage")).distinct()
+    return pairs.join(e, "eval_form").join(t, "train_form").select("eval_key", "eval_split", "eval_source", "train_key", "train_source", "edits", "coverage").distinct()
 
 
 def overlap_report(rows: DataFrame) -> DataFrame:
     """Per split and source of the evaluation records: ``split, source, records, leaked, exact, coverage``; ``records`` counts those
-    with words, ``leaked`` those with a train record within the budget, ``coverage`` is the mean best coverage over all records.
-    Members are not paired: each class carries its best partner."""
-    best = class_overlaps(durable(_classes(rows), "classes")).groupBy(F.col("eval_form").alias("form")).agg(F.min("edits").alias("edits"), F.max(1 - F.col("edits") / F.col("n_eval")).alias("coverage"))
+    with words, ``leaked`` those with a train record within the budget, ``exact`` those with the same words, ``coverage`` is the mean
+    best coverage over all records. Members are not paired: each class carries its best partner."""
+    best = class_overlaps(durable(_classes(rows), "classes")).groupBy(F.col("eval_form").alias("form")).agg(F.min("edits").alias("edits"), F.max("coverage").alias("coverage"))
     e = rows.where("split <> 'train' and key is not null").select("key", "split", "source", "form").distinct()
     return e.join(best, "form", "left").groupBy("split", "source").agg(
         F.count("*").alias("records"), F.count("edits").alias("leaked"), F.count_if(F.col("edits") == 0).alias("exact"), F.round(F.avg(F.coalesce("coverage", F.lit(0.0))), 6).alias("coverage")

@@ -59,7 +59,47 @@ def test_empty_tables(spark):
     assert found(spark, [(1, "an ka manjé diri", None, 0)], [])[0] == set()
 
 
-def test_minima_guarantee():
-    for n in range(1, 60):
-        need = max(n - x + 3 * (x // 5) + 1 for x in range(n, n * 5 // 4 + 1))
-        assert m.minima(n) == need
+def test_records_share_the_promised_run():
+    """No placing of the allowed edits leaves only shorter runs of equal words than the window is made for."""
+    for n in range(m.BUDGET, 80):
+        e = n // m.BUDGET
+        assert m.clean_run(n) <= -(-(n - e) // (e + 1))
+        assert m.clean_run(n) >= (m.RUN + 1 if n >= m.LONG else m.RUN if n > m.BUDGET else 2)
+
+
+def test_windows_hold_a_fingerprint_and_any_order_keeps_common_ones():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    level = rng.integers(0, 9, m.SKETCH).astype(np.uint8)
+    words = [f"w{i}" for i in rng.integers(0, 40, 60)]
+    h, which, pos = m._runs([words, words[20:40], words[:7]], m.RUN)
+    ok = m.winnow(h, which, np.array([True, True, False]), level)
+    assert all(ok[i] or ok[i + 1] for i in range(len(h) - 1) if which[i] == which[i + 1])
+    assert set(h[ok & (which == 1)][1:-1]) <= set(h[ok & (which == 0)]) and ok[which == 2].all()
+    assert ok[which == 0].sum() < 0.8 * (which == 0).sum()
+
+
+def test_chain_and_distance():
+    a, b = "a b c d e f g h i j".split(), "x a b c d f g h i y".split()
+    assert m.chain([(0, 1), (1, 2), (5, 5)], a, b) == 8  # a-d and f-i
+    assert m.chain([(0, 7), (5, 0)], "a b c d e f".split(), "f u v w x y z a b c".split()) == 3  # crossing seeds: the longer one
+    assert m.chain([], a, b) == 0
+    rng = random.Random(8)
+    for _ in range(300):
+        x, y = [[rng.choice("abc") for _ in range(rng.randrange(0, 9))] for _ in range(2)]
+        assert m.distance(x, y, 99) == edits(x, y) and m.distance(x, y, 2) == min(3, edits(x, y))
+    many = [f"w{i}" for i in range(30_000)]
+    assert m.distance(many, many[:100] + ["x"] + many[101:], 10) == 1
+
+
+def test_common_runs_are_sliced(spark, monkeypatch):
+    """Rows of one hot run stand in many slices, and no pair is lost or doubled."""
+    monkeypatch.setattr(m, "RARE", 1)
+    hot = "an ka manjé diri la chak jou lè an ni tan pou"
+    train = [(i, f"{hot} fè sa {i} {i + 1} {i + 2} {i + 3} {i + 4}", "a", 0) for i in range(60)]
+    val = [(1000 + i, f"{hot} fè sa {i} {i + 1} {i + 2} {i + 3} x", "a", 0) for i in range(0, 60, 7)]
+    pairs, rows = found(spark, train, val)
+    assert m.slices(m._counts(m._classes(rows))).max() > 3
+    want = {(v, t) for v, x, _, _ in val for t, y, _, _ in train if edits(plain_words(x), plain_words(y)) * 5 <= 18}
+    assert pairs == want and len(want) >= 9
