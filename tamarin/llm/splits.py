@@ -7,7 +7,7 @@ run is, roughly, and then by its hash (weighted minimizers): any order keeps the
 has. How common a run is comes from a sketch of fixed size over all records.
 
 Fingerprints are joined across splits, common ones in slices. A seed counts if it lies near the diagonal and grows to a stretch as long
-as the promised one, and if the hashed words of both records are within the budget. The seeds of a pair are chained: the longest
+as the promised one, and if neither record has more words of its own than the budget, by masks of their words. The seeds of a pair are chained: the longest
 collinear chain, extended word by word, gives the covered words; the words between are aligned, which gives the exact distance.
 
 Records with the same words form one class before anything is joined; classes are compared, members come back at the end.
@@ -36,7 +36,9 @@ SKETCH = 1 << 16
 RARE = 20_000
 #: A run's rows are dealt to one slice more for each such share of all runs that it has.
 SLICES = 1024
-#: Runs of a batch that are hashed at once, and words kept in a worker's cache.
+#: Words of a record from which on only a part of them stands in its mask of 64 bits.
+MASK = 48
+#: Words kept in a worker's cache.
 CACHE = 500_000
 
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -79,15 +81,35 @@ def rolling(ids: np.ndarray, run: int) -> np.ndarray:
     return h
 
 
-def _runs(words: list[list[str]], run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the runs inside the records of a batch: hash, record, position."""
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ids = np.fromiter((_IDS[w] for x in words for w in x), np.uint64, int(sizes.sum()))
-    h = rolling(ids, run)
-    which = np.repeat(np.arange(len(words)), sizes)[: len(h)]
-    pos = np.arange(len(h)) - (np.cumsum(sizes) - sizes)[which]
-    ok = pos + run <= sizes[which]
-    return h[ok], which[ok], pos[ok]
+class Batch:
+    """The words of a batch of records, hashed, one after the other."""
+
+    def __init__(self, words: list[list[str]]):
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        self.ids = np.fromiter((_IDS[w] for x in words for w in x), np.uint64, int(self.sizes.sum()))
+        self.which = np.repeat(np.arange(len(words)), self.sizes)
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def runs(self, run: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the runs inside records: hash, and place in ``ids``."""
+        h = rolling(self.ids, run)
+        ok = np.flatnonzero(self.which[: len(h)] == self.which[run - 1 :]) if len(h) else np.zeros(0, np.int64)
+        return h[ok], ok
+
+    def beside(self, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """A byte of the word at ``at``; 0 where it is another record's."""
+        inside = (at >= 0) & (at < len(self.ids))
+        at = np.where(inside, at, 0)
+        return np.where(inside & (self.which[at] == owner), (self.ids[at] % np.uint64(255)).astype(np.int64) + 1, 0)
+
+    def masks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each record a mask with a bit for each of its words, and the mask's level: from MASK words on only one word in two, from
+        2 * MASK words on one in four, and so on, sets a bit."""
+        level = np.ceil(np.log2(np.maximum(1, (self.sizes + 1) / MASK))).astype(np.uint64)
+        word = self.ids >> np.uint64(6)
+        some = word & ((np.uint64(1) << level[self.which]) - np.uint64(1)) == 0
+        bit = np.where(some, np.uint64(1) << (self.ids & np.uint64(63)), np.uint64(0))
+        return np.bitwise_or.reduceat(bit, self.first) if len(bit) else np.zeros(0, np.uint64), level.astype(np.int64)
 
 
 def winnow(h: np.ndarray, which: np.ndarray, long: np.ndarray, level: np.ndarray) -> np.ndarray:
@@ -111,12 +133,6 @@ def slices(counts: np.ndarray) -> np.ndarray:
     return (1 + np.floor(over * (SLICES / max(1, counts.sum())))).astype(np.int64)
 
 
-def _letters(words: list[str]) -> str:
-    """One character for each word, by its hash: equal words get equal characters, so the distance of two such strings never exceeds
-    that of the word sequences."""
-    return "".join([chr(33 + _IDS[w] % 94) for w in words])
-
-
 def word_classes(df: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
     """``key, keep..., form BINARY, words STRING, n INT``; ``form`` identifies the word sequence, ``words`` is parted by spaces.
     Records without words are left out."""
@@ -139,7 +155,7 @@ def _counts(classes: DataFrame) -> np.ndarray:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            h, _, _ = _runs([w.split(" ") for w in batch.column(0).to_pylist()], RUN)
+            h, _ = Batch([w.split(" ") for w in batch.column(0).to_pylist()]).runs(RUN)
             total += np.bincount((h & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], ["cell", "n"])
@@ -151,39 +167,37 @@ def _counts(classes: DataFrame) -> np.ndarray:
 
 
 def _fingerprints(classes: DataFrame, level: np.ndarray, parts: np.ndarray, every: bool) -> DataFrame:
-    """The fingerprints of each class: ``gram, form, n, pos, near, letters``. ``near`` holds a byte of the word before and after the
-    run. Common runs stand in one of their slices, or in each with ``every``. Records of four or five words, whose three-word runs
-    one change may all destroy, also give runs of two."""
+    """The fingerprints of each class: ``gram, id, n, pos, near, mask``. ``id`` begins the form, ``near`` holds the mask's level and a
+    byte of the word before and after the run. Common runs stand in one of their slices, or in each with ``every``. Records of four
+    or five words, whose three-word runs one change may all destroy, also give runs of two."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [w.split(" ") for w in batch.column(1).to_pylist()]
-            n = np.fromiter(map(len, words), np.int64, len(words))
-            h, which, pos = _runs(words, RUN)
-            ok = winnow(h, which, n >= LONG, level)
-            h, which, pos, width = h[ok], which[ok], pos[ok], np.full(int(ok.sum()), RUN)
-            few = np.flatnonzero((n >= BUDGET - 1) & (n <= BUDGET))
-            if len(few):
-                h2, which2, pos2 = _runs([words[i] for i in few], 2)
-                h, which, pos, width = np.r_[h, h2], np.r_[which, few[which2]], np.r_[pos, pos2], np.r_[width, np.full(len(h2), 2)]
-            near = [(_IDS[words[i][p - 1]] % 255 + 1 if p else 0) << 8 | (_IDS[words[i][p + k]] % 255 + 1 if p + k < len(words[i]) else 0) for i, p, k in zip(which.tolist(), pos.tolist(), width.tolist())]
+            if not batch.num_rows:
+                continue
+            given = Batch([w.split(" ") for w in batch.column(1).to_pylist()])
+            form = np.array([int.from_bytes(x.as_py()[:8], signed=True) for x in batch.column(0)], np.int64)
+            h, at = given.runs(RUN)
+            ok = winnow(h, given.which[at], given.sizes >= LONG, level)
+            h, at = h[ok], at[ok]
+            width = np.full(len(h), RUN)
+            h2, at2 = given.runs(2)
+            if len(few := np.flatnonzero((given.sizes[given.which[at2]] >= BUDGET - 1) & (given.sizes[given.which[at2]] <= BUDGET))):
+                h, at, width = np.r_[h, h2[few]], np.r_[at, at2[few]], np.r_[width, np.full(len(few), 2)]
+            owner = given.which[at]
+            mask, grade = given.masks()
+            near = grade[owner] << 16 | given.beside(at - 1, owner) << 8 | given.beside(at + width, owner)
             many = parts[(h & np.uint64(SKETCH - 1)).astype(np.int64)]
-            if every:
-                row = np.repeat(np.arange(len(h)), many)
-                part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            else:
-                row = np.arange(len(h))
-                part = np.fromiter((int.from_bytes(x.as_py()[:4]) for x in batch.column(0)), np.int64, len(words))[which] % many
+            row = np.repeat(np.arange(len(h)), many) if every else np.arange(len(h))
+            part = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) if every else (form[owner] & 0xFFFFFFFF) % many
             with np.errstate(over="ignore"):
                 gram = h[row] + part.astype(np.uint64) * _B
-            take = pa.array(which[row])
-            letters = pa.array([_letters(w) for w in words], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), batch.column(0).take(take), pa.array(n[which[row]], pa.int32()), pa.array(pos[row], pa.int32()), pa.array(np.array(near, np.int64)[row], pa.int32()), letters.take(take)],
-                ["gram", "form", "n", "pos", "near", "letters"],
-            )
+            pos = (at - given.first[owner])[row]
+            owner = owner[row]
+            columns = (gram.view(np.int64), form[owner], given.sizes[owner].astype(np.int32), pos.astype(np.int32), near[row].astype(np.int32), mask[owner].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "id", "n", "pos", "near", "mask"])
 
-    return classes.select("form", "words").mapInArrow(run, "gram long, form binary, n int, pos int, near int, letters string")
+    return classes.select("form", "words").mapInArrow(run, "gram long, id long, n int, pos int, near int, mask long")
 
 
 def budget(n: Column, m: Column) -> Column:
@@ -267,17 +281,23 @@ def class_overlaps(classes: DataFrame) -> DataFrame:
     words, n, train BOOLEAN, eval BOOLEAN``, one row per word sequence."""
     counts = _counts(classes)
     level, parts = levels(counts), slices(counts)
-    a = _fingerprints(classes.where("eval"), level, parts, True).select("gram", *(F.col(c).alias(f"{c}_a") for c in ("form", "n", "pos", "near", "letters")))
-    b = _fingerprints(classes.where("train"), level, parts, False).select("gram", *(F.col(c).alias(f"{c}_b") for c in ("form", "n", "pos", "near", "letters")))
-    met = a.join(b, "gram").withColumn("most", budget(F.col("n_a"), F.col("n_b")))
-    near = (F.abs(F.col("n_a") - F.col("n_b")) <= F.col("most")) & (F.abs(F.col("pos_a") - F.col("pos_b")) <= F.col("most")) & (F.col("form_a") != F.col("form_b"))
+    named = lambda df, x: df.select("gram", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "pos", "near", "mask")))
+    met = named(_fingerprints(classes.where("eval"), level, parts, True), "a").join(named(_fingerprints(classes.where("train"), level, parts, False), "b"), "gram")
+    most = budget(F.col("n_a"), F.col("n_b"))
+    band = (F.abs(F.col("n_a") - F.col("n_b")) <= most) & (F.abs(F.col("pos_a") - F.col("pos_b")) <= most)
     both = F.col("near_a").bitwiseXOR(F.col("near_b"))  # a byte is 0 where the words are equal
-    grows = (F.greatest("n_a", "n_b") < LONG) | ((both.bitwiseAND(0xFF) == 0) & (F.col("near_a").bitwiseAND(0xFF) != 0)) | ((both.bitwiseAND(0xFF00) == 0) & (F.col("near_a").bitwiseAND(0xFF00) != 0))
-    seeds = met.where(near).where(grows).where(F.expr("levenshtein(letters_a, letters_b, most) >= 0"))
+    beside = lambda byte: (both.bitwiseAND(byte) == 0) & (F.col("near_a").bitwiseAND(byte) != 0)
+    grows = (F.greatest("n_a", "n_b") < LONG) | beside(0xFF) | beside(0xFF00)
+    # each word that only one record has costs an edit
+    lacks = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) <= most
+    alike = (both >= 1 << 16) | (lacks("mask_a", "mask_b") & lacks("mask_b", "mask_a"))
+    seeds = met.where(band & grows & alike)
     # as many seeds a pair as the records have fingerprints
-    pairs = seeds.groupBy(F.col("form_a").alias("eval_form"), F.col("form_b").alias("train_form")).agg(F.collect_set(F.struct(F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))).alias("seeds"))
-    w = classes.select("form", "words")
-    close = pairs.join(w.select(F.col("form").alias("eval_form"), F.col("words").alias("wa")), "eval_form").join(w.select(F.col("form").alias("train_form"), F.col("words").alias("wb")), "train_form")
+    pairs = seeds.groupBy("id_a", "id_b").agg(F.collect_set(F.struct(F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))).alias("seeds"))
+    w = classes.select("form", "words", "train", "eval", F.conv(F.hex(F.substring("form", 1, 8)), 16, -10).cast("long").alias("id"))
+    e = w.where("eval").select(F.col("id").alias("id_a"), F.col("form").alias("eval_form"), F.col("words").alias("wa"))
+    t = w.where("train").select(F.col("id").alias("id_b"), F.col("form").alias("train_form"), F.col("words").alias("wb"))
+    close = pairs.join(e, "id_a").join(t, "id_b").where("eval_form <> train_form")
     same = classes.where("eval and train").select(F.col("form").alias("eval_form"), F.col("form").alias("train_form"), F.lit(0).alias("edits"), F.lit(1.0).alias("coverage"))
     return _aligned(close.select("eval_form", "train_form", "seeds", "wa", "wb")).unionByName(same)
 

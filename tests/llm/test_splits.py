@@ -73,7 +73,9 @@ def test_windows_hold_a_fingerprint_and_any_order_keeps_common_ones():
     rng = np.random.default_rng(2)
     level = rng.integers(0, 9, m.SKETCH).astype(np.uint8)
     words = [f"w{i}" for i in rng.integers(0, 40, 60)]
-    h, which, pos = m._runs([words, words[20:40], words[:7]], m.RUN)
+    batch = m.Batch([words, words[20:40], words[:7]])
+    h, at = batch.runs(m.RUN)
+    which = batch.which[at]
     ok = m.winnow(h, which, np.array([True, True, False]), level)
     assert all(ok[i] or ok[i + 1] for i in range(len(h) - 1) if which[i] == which[i + 1])
     assert set(h[ok & (which == 1)][1:-1]) <= set(h[ok & (which == 0)]) and ok[which == 2].all()
