@@ -1,13 +1,13 @@
 """Problem 8: passages of held-out items that stand, wholly or partly and not always cleanly, in a corpus.
 
-SimHash over item-sized windows: a leaked passage has at least MIN_WORDS words of which one in ALTERED may be altered, so an item is
-cut into windows of the longest stretch such a passage is sure to hold clean, WINDOW words. Every window of every item and of every
-document gets a 64-bit SimHash of its words and word pairs. The items' fingerprints are filed under four 16-bit blocks; any two
-fingerprints at most RADIUS = 3 bits apart agree in one block, so looking up a document window's four blocks finds all within the
-radius. A document and an item that share at least two windows near one diagonal, as every passage does, are verified: the exact
-weighted similarity of their word shingles over the covered stretch, then the alignment that the definition asks for.
-
-Only the items' index is sent to the tasks; its size is checked. Documents are streamed once, whole, without a shuffle.
+SimHash over passage-sized windows. A leaked passage has at least MIN_WORDS words of which one in ALTERED may be altered, so every
+window of MIN_WORDS words of every item and of every document gets a 64-bit SimHash, in which a word has the more votes, the fewer
+items have it; a window with a word altered differs in some bits. The items' fingerprints are filed under four blocks of 16 bits, each under all values at most NEAR bits
+away: any two fingerprints at most RADIUS bits apart agree so far in one block, so looking up a document window's four blocks finds
+all within the radius. Candidates are verified: seeds of equal words near the windows' diagonal, the exact weighted similarity of
+their word shingles, then the alignment that the definition asks for.
+
+Only the items' index is sent to the tasks, in parts of bounded size; documents are streamed whole, without a shuffle.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import math
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -25,17 +25,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarin.llm.words import plain_words
+from tamarin.plans.durable import durable
 
 #: A passage: so many consecutive words of the item, at most one in ALTERED of them altered.
 MIN_WORDS, ALTERED = 12, 8
-#: Words in a window: a passage of 16 words with two altered may hold no longer clean stretch than 5.
-WINDOW = 5
-#: Bits two fingerprints may differ in; with RADIUS + 1 blocks one block is equal.
-RADIUS, BLOCKS = 3, 4
-#: Characters of item text one index may hold; larger item sets are searched in several passes of the documents.
-ITEM_CHARS = 8_000_000
+#: Words in a window.
+WINDOW = MIN_WORDS
+#: Blocks of a fingerprint, and bits a block may differ in: one of the blocks does not differ in more if all differ in RADIUS at most.
+BLOCKS, NEAR = 4, 1
+RADIUS = BLOCKS * (NEAR + 1) - 1
+#: Independent fingerprints of a window; a candidate is within the radius by one of them.
+PRINTS = 3
+#: Equal words in a row that every passage holds: one of 16 words with two altered may hold no longer stretch.
+SEED = 5
+#: Characters of item text one index may hold; larger item sets are searched in several passes of the documents, one at a time.
+ITEM_CHARS = 400_000
 #: Tokens fingerprinted at once, and words kept in a worker's cache.
 CHUNK, CACHE = 100_000, 500_000
+#: Votes of a word at most: a window's fit into a byte.
+MOST_VOTES = 255 // WINDOW
+#: Words fingerprinted at once.
+BLOCK = 4096
+#: Candidates compared at once.
+MOST = 1 << 16
 #: Words an alignment may shift within one passage.
 SHIFT = 3
 
@@ -50,72 +62,102 @@ class _Ids(dict):
         return out
 
 
-def fingerprints(ids: np.ndarray) -> np.ndarray:
-    """The SimHash of every window of WINDOW words: WINDOW words and WINDOW - 1 pairs vote, an odd number, on each bit."""
-    n = len(ids) - WINDOW + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        pairs = (ids[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (ids[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-        pairs ^= pairs >> np.uint64(29)
-        pairs *= np.uint64(0xBF58476D1CE4E5B9)
-        pairs ^= pairs >> np.uint64(32)
-    bits = lambda x: np.unpackbits(np.ascontiguousarray(x).view(np.uint8)).reshape(-1, 64)
-    one, two = bits(ids), bits(pairs)
-    one[:-1] += two
-    votes = one[:n] + one[1 : n + 1]
-    for k in range(2, WINDOW - 1):
-        votes += one[k : k + n]
-    votes += bits(ids[WINDOW - 1 :])
-    return np.packbits(votes > (2 * WINDOW - 1) // 2, axis=1).view(np.uint64).ravel()
+def fingerprints(ids: np.ndarray, weights: np.ndarray, which: int = 0, size: int = WINDOW) -> np.ndarray:
+    """The SimHash, one of the PRINTS, of each stretch of ``size`` words: every word votes with its weight on each bit, and more than
+    half sets it."""
+    out = []
+    if which:
+        with np.errstate(over="ignore"):
+            ids = (ids ^ (ids >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15 + 2 * which)
+            ids ^= ids >> np.uint64(29)
+    for a in range(0, max(0, len(ids) - size + 1), BLOCK):
+        part = slice(a, a + BLOCK + size - 1)
+        votes = np.unpackbits(np.ascontiguousarray(ids[part]).view(np.uint8)).reshape(-1, 64) * weights[part, None]
+        total = np.cumsum(np.r_[0, weights[part].astype(np.int64)])
+        sums, got, step, done = votes, None, 1, 0
+        left = size
+        while left:
+            if left & 1:
+                got = sums if got is None else got[: len(sums) - done] + sums[done:]
+                done += step
+            left >>= 1
+            if left:
+                sums = sums[:-step] + sums[step:]
+                step *= 2
+        half = (total[size:] - total[:-size]) // 2
+        out.append(np.packbits(got[: len(half)] > half[:, None].astype(np.uint8), axis=1).view(np.uint64).ravel())
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts of these sizes, one after the other: start of each window, and its text."""
+    ends = np.cumsum(sizes)
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    start = np.flatnonzero(np.arange(WINDOW, len(which) + WINDOW) <= ends[which])
+    return start, which[start]
+
+
+#: All differences of a block of up to NEAR bits.
+_MASKS = np.array([sum(1 << i for i in c) for k in range(NEAR + 1) for c in combinations(range(16), k)], np.uint16)
 
 
 class Index:
     """The items' windows under the blocks of their fingerprints."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.keys, self.words, prints, owner, place = [], [], [], [], []
         hashed = _Ids()
+        self.keys, self.words = [], []
         for key, text in items:
             w = plain_words(text)
-            ids = np.fromiter((hashed[x] for x in w), np.uint64, len(w))
-            fp = fingerprints(ids)
-            owner.append(np.full(len(fp), len(self.keys)))
-            place.append(np.arange(len(fp)))
-            prints.append(fp)
-            self.keys.append(key)
-            self.words.append(ids.tolist())
-        none = np.zeros(0, np.int64)
-        self.prints = np.concatenate(prints or [np.zeros(0, np.uint64)])
-        self.owner, self.place = np.concatenate(owner or [none]), np.concatenate(place or [none])
-        self.blocks = []
-        for b in range(BLOCKS):
-            at = self._block(self.prints, b)
-            order = np.argsort(at, kind="stable")
-            start = np.searchsorted(at[order], np.arange(65537))
-            self.blocks.append((order, start[:-1], np.diff(start)))
+            if len(w) >= MIN_WORDS:
+                self.keys.append(key)
+                self.words.append([hashed[x] for x in w])
+        sizes = np.array([len(w) for w in self.words], np.int64)
+        self.ids = np.fromiter(chain.from_iterable(self.words), np.uint64, int(sizes.sum()))
+        self.first = np.cumsum(sizes) - sizes
+        self.start, self.owner = windows(sizes)
         seen = Counter(w for x in self.words for w in set(x))
         self.weight = {w: math.log(1 + len(self.words) / n) for w, n in seen.items()}
+        self.known = np.sort(np.fromiter(seen, np.uint64, len(seen)))
+        self.votes = np.array([min(MOST_VOTES, max(1, round(3 * self.weight[w]))) for w in self.known.tolist()] or [1], np.uint8)
+        self.prints = [fingerprints(self.ids, self.voices(self.ids), x)[self.start] for x in range(PRINTS)]
+        self.blocks = []
+        for x in range(PRINTS):
+            for b in range(BLOCKS):
+                at = (self._block(self.prints[x], b)[:, None] ^ _MASKS).ravel()
+                order = np.argsort(at, kind="stable")
+                first = np.searchsorted(at[order], np.arange(65537))
+                self.blocks.append((x, b, (order // len(_MASKS)).astype(np.int32), first[:-1].astype(np.int32), np.diff(first).astype(np.int32)))
+
+    def voices(self, ids: np.ndarray) -> np.ndarray:
+        """The votes of words: the more, the fewer items have them. Words of no item have one, so that a word put in place of
+        another changes little."""
+        at = np.minimum(np.searchsorted(self.known, ids), max(0, len(self.known) - 1))
+        return np.where(self.known[at] == ids, self.votes[at], 1).astype(np.uint8) if len(self.known) else np.ones(len(ids), np.uint8)
 
     @staticmethod
     def _block(prints: np.ndarray, b: int) -> np.ndarray:
-        return (prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.int64)
-
-    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All (position in ``prints``, window of the index) at most RADIUS bits apart."""
-        found = []
-        for b, (order, start, count) in enumerate(self.blocks):
-            at = self._block(prints, b)
-            many = count[at]
-            some = np.flatnonzero(many)
-            many = many[some]
-            left = np.repeat(some, many)
-            within = np.arange(len(left)) - np.repeat(np.cumsum(many) - many, many)
-            right = order[np.repeat(start[at[some]], many) + within]
-            ok = np.bitwise_count(prints[left] ^ self.prints[right]) <= RADIUS
-            found.append(left[ok] * len(self.prints) + right[ok])
+        return (prints >> np.uint64(16 * b) & np.uint64(0xFFFF)).astype(np.uint16)
+
+    def near(self, prints: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """All (position in ``prints``, window of the index) of which one of the fingerprints is at most RADIUS bits apart."""
+        found, n = [np.zeros(0, np.int64)], max(1, len(self.start))
+        for x, b, order, first, count in self.blocks:
+            at = self._block(prints[x], b)
+            some = np.flatnonzero(count[at])
+            many, begin = count[at[some]], first[at[some]]
+            until = np.cumsum(many, dtype=np.int64)
+            cuts = [0, *np.searchsorted(until, np.arange(MOST, until[-1] if len(until) else 0, MOST)).tolist(), len(some)]
+            for lo, hi in zip(cuts, cuts[1:]):  # as many as stay near the processor
+                if hi == lo:
+                    continue
+                m = many[lo:hi]
+                left = np.repeat(some[lo:hi], m)
+                right = order[np.arange(len(left)) + np.repeat(begin[lo:hi] - np.cumsum(m) + m, m)]
+                ok = np.flatnonzero(np.bitwise_count(prints[x][left] ^ self.prints[x][right]) <= RADIUS)
+                found.append(left[ok] * n + right[ok])
         both = np.unique(np.concatenate(found))
-        return both // max(1, len(self.prints)), both % max(1, len(self.prints))
+        return both // n, both % n
 
     def alike(self, doc: list[int], item: list[int]) -> bool:
         """Whether a document's stretch is similar enough to an item's to hold a passage of it: all its weighted shingles but for the
@@ -175,41 +217,51 @@ def leaks(doc: list[int], item: list[int], seeds: list[tuple[int, int]], index:
     return False
 
 
+def _seeds(index: Index, ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where SEED equal words stand in both windows of a candidate: candidate, document position, item position. Words added or
+    dropped before them shift the diagonal, by two at most in a window."""
+    reach, found = np.arange(WINDOW), []
+    for shift in range(-2, 3):
+        d = left[:, None] + reach
+        i = right[:, None] + reach + shift
+        same = (ids[np.minimum(d, len(ids) - 1)] == index.ids[np.clip(i, 0, len(index.ids) - 1)]) & (d < len(ids)) & (i >= 0) & (i < len(index.ids))
+        run = same[:, : WINDOW - SEED + 1].copy()
+        for k in range(1, SEED):
+            run &= same[:, k : k + WINDOW - SEED + 1]
+        which = np.flatnonzero(run.any(axis=1))
+        at = run[which].argmax(axis=1)
+        found.append((which, left[which] + at, right[which] + at + shift))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _search(index: Index, docs: list[tuple[int, list[int]]]) -> Iterator[tuple[int, int]]:
     """(document key, item key) of one chunk of documents."""
-    sizes = np.array([len(w) for _, w in docs])
+    sizes = np.array([len(w) for _, w in docs], np.int64)
     ids = np.fromiter(chain.from_iterable(w for _, w in docs), np.uint64, int(sizes.sum()))
-    left, right = index.near(fingerprints(ids))
-    ends = np.cumsum(sizes)
-    which = np.searchsorted(ends, left, "right")
-    pos = left - (ends - sizes)[which]
-    group = which * len(index.keys) + index.owner[right]
-    order = np.flatnonzero(pos + WINDOW <= sizes[which])  # no window spans two documents
-    order = order[np.argsort(group[order], kind="stable")]
-    group, pos, place = group[order], pos[order], index.place[right[order]]
-    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
-    end = np.r_[start[1:], len(group)] if len(group) else start
-    for a, b in zip(start[end - start > 1].tolist(), end[end - start > 1].tolist()):
-        d, i = divmod(int(group[a]), len(index.keys))
-        seeds = _paired(sorted(zip(pos[a:b].tolist(), place[a:b].tolist())))
-        if seeds and leaks(docs[d][1], index.words[i], seeds, index):
-            yield docs[d][0], index.keys[i]
-
-
-def _paired(seeds: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Those of the sorted seeds with another one within a passage's length and SHIFT of its diagonal."""
-    keep = set()
-    for x, (j, k) in enumerate(seeds):
-        for y in range(x + 1, len(seeds)):
-            jj, kk = seeds[y]
-            if jj - j > 2 * MIN_WORDS:
-                break
-            if -SHIFT <= jj - kk - j + k <= SHIFT and kk >= k:
-                keep.add(x)
-                keep.add(y)
-                if jj > j + 1 or kk == k + 1:
-                    break  # the seeds behind y are y's own neighbours
-    return [seeds[x] for x in sorted(keep)]
+    before = np.cumsum(sizes) - sizes
+    start, which = windows(sizes)
+    voices = index.voices(ids)
+    prints = [fingerprints(ids, voices, x)[start] for x in range(PRINTS)]
+    if len(short := np.flatnonzero(sizes == MIN_WORDS - 1)):  # a word short of a window, yet it may hold a passage less a word
+        at = before[short]
+        prints = [np.r_[p, fingerprints(ids, voices, x, MIN_WORDS - 1)[at]] for x, p in enumerate(prints)]
+        start, which = np.r_[start, at], np.r_[which, short]
+    left, right = index.near(prints)
+    which, owner = which[left], index.owner[right]
+    cand, d, i = _seeds(index, ids, start[left], index.start[right])
+    which, owner = which[cand], owner[cand]
+    d, i = d - before[which], i - index.first[owner]
+    inside = np.flatnonzero((d >= 0) & (i >= 0) & (d + SEED <= sizes[which]))
+    group = which[inside] * len(index.keys) + owner[inside]
+    order = np.argsort(group, kind="stable")
+    group, inside = group[order], inside[order]
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(group)]):
+        doc, item = divmod(int(group[a]), len(index.keys))
+        at = inside[a:b]
+        seeds = [(j, k) for j, k in set(zip(d[at].tolist(), i[at].tolist())) if k + SEED <= len(index.words[item])]
+        if seeds and leaks(docs[doc][1], index.words[item], seeds, index):
+            yield docs[doc][0], index.keys[item]
 
 
 def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
@@ -229,6 +281,8 @@ def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, it
         part = given if passes == 1 else given.where(F.pmod(F.xxhash64("i", "t"), F.lit(passes)) == p)
         rows = [(r["i"], r["t"]) for r in part.collect()]
         one = documents.select(key, text).mapInArrow(_searcher(rows, key, item_key), schema)
+        if passes > 1:  # done at once, so that the driver and each worker hold one part of the items at a time
+            one = durable(one, "leaks")
         out = one if out is None else out.unionByName(one)
     return out.distinct()
 
@@ -244,7 +298,7 @@ def _searcher(rows: list[tuple[int, str]], key: str, item_key: str):
         if _WORKER.get("token") != token:
             _WORKER.update(token=token, index=Index(rows), hashed=_Ids())
         index, hashed = _WORKER["index"], _WORKER["hashed"]
-        if not len(index.prints):
+        if not len(index.start):
             return
         for batch in batches:
             found: list[tuple[int, int]] = []
