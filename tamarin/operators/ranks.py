@@ -13,21 +13,26 @@ CUTS = 255
 HOT = 200
 
 
-def value_ranks(values: DataFrame) -> DataFrame:
+#: Names of which the cuts and offsets are broadcast at most: at most 256 numbers each.
+FEW = 64
+
+
+def value_ranks(values: DataFrame, names: int | None = None) -> DataFrame:
     """``values(name, v)`` without nulls to one row per distinct value: ``name, v, n, less, total``, where ``less`` counts the rows
-    of the name with a smaller value and ``n`` those with this one.
+    of the name with a smaller value and ``n`` those with this one. ``names`` says how many names there are, if that is known.
 
     Equal values are counted before anything is sorted, values fall into buckets between approximate quantiles, and a rank is a
     running count inside the bucket plus the bucket's offset.
     """
     freq = durable(values.groupBy("name", "v").agg(F.count("*").alias("n")), "value-counts")
-    cuts = freq.groupBy("name").agg(F.percentile_approx("v", [(i + 1) / (CUTS + 1) for i in range(CUTS)], 10_000).alias("cuts"))
+    small = F.broadcast if names is not None and names <= FEW else lambda df: df
+    cuts = small(durable(freq.groupBy("name").agg(F.percentile_approx("v", [(i + 1) / (CUTS + 1) for i in range(CUTS)], 10_000).alias("cuts")), "cuts"))
     placed = freq.join(cuts, "name").withColumn("bucket", F.size(F.filter("cuts", lambda c: c < F.col("v")))).drop("cuts")
     sums = placed.groupBy("name", "bucket").agg(F.sum("n").alias("m"))  # at most CUTS + 1 rows a name
     by = Window.partitionBy("name").orderBy("bucket")
     offsets = sums.select("name", "bucket", (F.sum("m").over(by) - F.col("m")).alias("before"), F.sum("m").over(Window.partitionBy("name")).alias("total"))
     run = F.sum("n").over(Window.partitionBy("name", "bucket").orderBy("v"))
-    return placed.withColumn("run", run).join(offsets, ["name", "bucket"]).select("name", "v", "n", (F.col("before") + F.col("run") - F.col("n")).alias("less"), "total")
+    return placed.withColumn("run", run).join(small(offsets), ["name", "bucket"]).select("name", "v", "n", (F.col("before") + F.col("run") - F.col("n")).alias("less"), "total")
 
 
 def with_ranks(rows: DataFrame, ranks: DataFrame) -> DataFrame:
