@@ -141,9 +141,9 @@ _RANKS = """with d as (select distinct id, -avg_logprob as a, compression_ratio
 r as (select id, a, b, c, e,
  list_filter([{good}], lambda x: x is not null) as good, list_filter([{bad}], lambda x: x is not null) as bad from d),
 t as (select *, len(good) as m, list_sort(good) as g, list_sort(bad) as h from r),
-s as (select *, {rg} as rho, {rb} as rho_bad from t where m > 0),
-k as (select *, round(ln(rho) - ln(rho_bad), 9) as key from s)
-select id, m::int as n_scores, round(least(1.0, rho), 6) as rho, rank() over (order by key) as place from k union all select id, 0, null, null from t where m = 0"""
+s as (select *, least(1.0, {rg}) as rho, least(1.0, {rb}) as rho_bad from t where m > 0),
+k as (select *, round(case when rho < 1 then ln(rho) else -ln(rho_bad) end, 9) as key from s)
+select id, m::int as n_scores, round(rho, 6) as rho, rank() over (order by key) as place from k union all select id, 0, null, null from t where m = 0"""
 
 
 def _rank_sql() -> str:
@@ -151,7 +151,7 @@ def _rank_sql() -> str:
     choose = ((1, 1), (1, 2, 1), (1, 3, 3, 1), (1, 4, 6, 4, 1))
 
     def tail(r: str, m: int) -> str:
-        ks = range(min(2, m), m + 1)
+        ks = range(1, m + 1)
         tails = ", ".join(" + ".join(f"{choose[m - 1][j]} * pow({r}[{k}], {j}) * pow(1 - {r}[{k}], {m - j})" for j in range(k, m + 1)) for k in ks)
         return f"least({tails}) * {len(ks)}" if len(ks) > 1 else f"({tails})"
 
