@@ -145,17 +145,20 @@ class Index:
         for x, b, order, first, count in self.blocks:
             at = self._block(prints[x], b)
             some = np.flatnonzero(count[at])
-            many, begin = count[at[some]], first[at[some]]
+            at = at[some]
+            many, own = count[at], prints[x][some]
             until = np.cumsum(many, dtype=np.int64)
+            begin = (first[at] - (until - many)).astype(np.int64)
             cuts = [0, *np.searchsorted(until, np.arange(MOST, until[-1] if len(until) else 0, MOST)).tolist(), len(some)]
             for lo, hi in zip(cuts, cuts[1:]):  # as many as stay near the processor
                 if hi == lo:
                     continue
                 m = many[lo:hi]
-                left = np.repeat(some[lo:hi], m)
-                right = order[np.arange(len(left)) + np.repeat(begin[lo:hi] - np.cumsum(m) + m, m)]
-                ok = np.flatnonzero(np.bitwise_count(prints[x][left] ^ self.prints[x][right]) <= RADIUS)
-                found.append(left[ok] * n + right[ok])
+                base = int(until[lo] - m[0])
+                right = order[np.repeat(begin[lo:hi] + base, m) + np.arange(int(until[hi - 1]) - base)]
+                ok = np.flatnonzero(np.bitwise_count(np.repeat(own[lo:hi], m) ^ self.prints[x][right]) <= RADIUS)
+                if len(ok):
+                    found.append(some[lo + np.searchsorted(until[lo:hi], ok + base, "right")] * n + right[ok])
         both = np.unique(np.concatenate(found))
         return both // n, both % n
 
