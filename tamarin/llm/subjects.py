@@ -8,14 +8,16 @@ Seed centroids, one per subject and language, come from labelled examples. Each
 nearest centroid of their language by cosine, then recounts from them the spread of every term and the centroids. The last pass
 assigns sentences for good, words of two subjects by the rest of the document, and reports the subjects of enough sentences.
 
-The vocabulary is bounded by ``TERMS``; all statistics run over all documents. Every pass sums matrices of that size per task, and
-tasks are as many as the cluster runs at once, so what is shuffled does not grow with the corpus.
+Every word counts: those of the examples and the ``TERMS`` of most documents are terms of their own, all others share ``HASHED``
+terms by their hash. All statistics run over all documents. Every pass sums matrices of that size per task, and tasks are as many as
+the cluster runs at once, so what is shuffled does not grow with the corpus. Products are sparse: they cost what the texts hold.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 from tamarin.llm.words import plain_parts, plain_words
 from tamarin.plans.durable import durable
 
-#: Terms of the model: those of most documents, each in at least MIN_DOCS.
-TERMS, MIN_DOCS = 8192, 3
+#: Words of most documents that are terms of their own, beside those of the examples, and terms that all other words share.
+TERMS, HASHED = 8192, 4096
 #: Singular directions, passes that find them, rounds of refinement.
 RANK, PASSES, ROUNDS = 64, 3, 3
 #: Labelled examples used at most, those of lowest hash.
@@ -40,10 +42,10 @@ NEAR, CLEAR = 0.5, 0.1
 #: Sentences of a subject that a term is taken to have had before any count: at least the first, or the second part of the subject's
 #: mean sentences in the language. A sentence treats nothing whose heaviest term weighs less than FLOOR of a typical subject word.
 PRIOR, FLOOR = (0.1, 0.003), 0.6
-#: Terms that tell the subjects apart by less than this have no weight.
-LEAST = 0.03
 #: A document treats a subject if so large a part of its sentences does.
 SHARE = 0.25
+#: Words of shared terms that a worker keeps.
+CACHE = 500_000
 #: Documents a task works on at once.
 CHUNK = 1000
 #: Blocks a summed matrix travels in.
@@ -57,8 +59,27 @@ def sentences(text: str | None) -> list[list[bytes]]:
     return plain_parts(text, SENTENCE)
 
 
-def vocabulary(documents: DataFrame, text: str) -> tuple[list[str], np.ndarray, int]:
-    """The terms, the documents that hold each, and the number of documents with words."""
+class Terms(dict):
+    """The term of each word: its own, or the one it shares by its hash. Shared ones are kept while the cache lasts."""
+
+    def __init__(self, words: list[str]):
+        super().__init__((w.encode(), i) for i, w in enumerate(words))
+        self.own, self.more = len(words), 0
+
+    def __missing__(self, word: bytes) -> int:
+        term = self.own + zlib.crc32(word) % HASHED
+        if self.more < CACHE:
+            self[word], self.more = term, self.more + 1
+        return term
+
+    def of(self, words: list[bytes]) -> list[int]:
+        """The distinct terms of a sentence."""
+        return sorted(set(map(self.__getitem__, words)))
+
+
+def vocabulary(documents: DataFrame, text: str, always: set[str]) -> tuple[list[str], np.ndarray, int]:
+    """The words that are terms of their own, ``always`` among them; the documents that hold each term, own ones first, then shared
+    ones, for which the documents of their words are added up; and the number of documents with words."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -74,30 +95,33 @@ def vocabulary(documents: DataFrame, text: str) -> tuple[list[str], np.ndarray,
         if seen:
             yield _counts(seen)
 
-    df = documents.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = df.where(f"n >= {MIN_DOCS} or word = ''").orderBy(F.desc("n"), "word").limit(TERMS + 1).collect()
-    total = next((r["n"] for r in rows if r["word"] == ""), 0)
-    rows = [r for r in rows if r["word"]][:TERMS]
-    return [r["word"] for r in rows], np.array([r["n"] for r in rows], float), total
+    spark = documents.sparkSession
+    df = durable(documents.select(text).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    given = F.broadcast(spark.createDataFrame([(w,) for w in sorted(always)], "word string"))  # the words of at most EXAMPLES examples
+    rows = {r["word"]: r["n"] for r in df.orderBy(F.desc("n"), "word").limit(TERMS + 1).collect()}
+    total = rows.pop("", 0)
+    rows |= dict.fromkeys(always, 0) | {r["word"]: r["n"] for r in df.join(given, "word").collect()} | rows
+    words = sorted(rows, key=lambda w: (-rows[w], w))
+    kept = F.broadcast(spark.createDataFrame([(w,) for w in [*words, ""]], "word string"))  # at most TERMS and the examples' words
+    rest = df.join(kept, "word", "left_anti").groupBy((F.crc32(F.col("word").cast("binary")) % HASHED).alias("term")).agg(F.sum("n").alias("n"))
+    docs = np.zeros(len(words) + HASHED)
+    docs[: len(words)] = [rows[w] for w in words]
+    for r in rest.collect():  # at most HASHED
+        docs[len(words) + r["term"]] = r["n"]
+    return words, docs, total
 
 
 def _counts(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
-def _positions(at: dict[bytes, int], words: list[bytes]) -> list[int]:
-    found = set(map(at.get, words))
-    found.discard(None)
-    return sorted(found)
-
-
 def coded(documents: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
     """``key, s ARRAY<ARRAY<INT>>``: the distinct terms of every sentence, as positions in ``terms``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = {w.encode(): i for i, w in enumerate(terms)}
+        at = Terms(terms)
         for batch in batches:
-            out = [[_positions(at, s) for s in sentences(t)] for t in batch.column(1).to_pylist()]
+            out = [[at.of(s) for s in sentences(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.list_(pa.int32())))], ["key", "s"])
 
     return durable(documents.select(F.col(key).alias("key"), text).mapInArrow(run, f"key {dict(documents.dtypes)[key]}, s array<array<int>>"), "coded")
@@ -142,13 +166,18 @@ def term_vectors(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
     def product(basis: np.ndarray) -> np.ndarray:
         def add(total: np.ndarray, column: pa.Array) -> None:
             word, sent, of = _flat(column)
-            doc = of[sent]
-            for a in range(0, len(column), 256):
-                i, j = np.searchsorted(doc, [a, a + 256])
-                x = np.bincount((doc[i:j] - a) * terms + word[i:j], minlength=256 * terms).reshape(256, terms).astype(np.float32)
-                x = np.log1p(x) * idf32
-                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-                total += x.T @ (x @ basis32)
+            # term frequencies: the sentences of a document that hold a term
+            cell, times = np.unique(of[sent] * terms + word, return_counts=True)
+            doc, word = cell // terms, cell % terms
+            x = np.log1p(times).astype(np.float32) * idf32[word]
+            norm = np.sqrt(np.bincount(doc, x * x, len(column))).astype(np.float32)
+            x /= np.maximum(norm[doc], 1e-9)
+            y = _added(basis32[word] * x[:, None], doc, len(column))
+            order = np.argsort(word, kind="stable")
+            word = word[order]
+            if len(word):
+                start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                total[word[start]] += np.add.reduceat(y[doc[order]] * x[order, None], start)
 
         idf32, basis32 = idf.astype(np.float32), basis.astype(np.float32)
         return _summed(docs, (terms, rank), add)
@@ -185,14 +214,11 @@ class Model:
         self.weight = (self.spread * self.idf[:, None]).astype(np.float32)
 
     def read(self, word: np.ndarray, sent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of ``n`` sentences: language, cosine with each subject, and whether a term is heavy enough; the cosines of a sentence
-        without such a term are 0."""
+        """Of ``n`` sentences: language, cosine with each subject, and whether a term is heavy enough for it to treat one."""
         lang = np.stack([np.bincount(sent, self.tells[word, x], n) for x in range(self.tells.shape[1])], 1).argmax(1)
         spread = self.spread[word, lang[sent]]
         heavy = np.zeros(n, bool)
         heavy[sent[(spread > 0) & (spread >= self.floor[lang[sent]])]] = True
-        some = np.flatnonzero((spread > 0) & heavy[sent])  # terms of no weight add nothing
-        word, sent = word[some], sent[some]
         unit, near = _unit(_added(self.vectors[word] * self.weight[word, lang[sent]][:, None], sent, n)), np.zeros((n, len(self.subjects)), np.float32)
         for x, c in enumerate(_unit(self.centroids).astype(np.float32)):
             near[lang == x] = unit[lang == x] @ c.T
@@ -219,7 +245,6 @@ def _spreads(counts: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarr
     p /= p.sum(1, keepdims=True)
     weight = 1 + (p * np.log(p)).sum(1) / math.log(max(2, subjects))
     weight[counts.sum(1) == 0] = 0
-    weight[weight < LEAST] = 0
     main = p.argmax(1)
     floor = np.ones(counts.shape[2])
     for x in range(counts.shape[2]):
@@ -231,16 +256,15 @@ def _spreads(counts: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def fit(documents: DataFrame, key: str, text: str, examples: list[tuple[str, str, str]]) -> tuple[Model, DataFrame]:
     """The refined model and the coded documents; ``examples`` are (subject, language, text)."""
-    terms, df, total = vocabulary(documents, text)
-    docs = coded(documents, key, text, terms)
-    at = {w.encode(): i for i, w in enumerate(terms)}
+    parts = [(s, x, sentences(t)) for s, x, t in examples]
+    words, df, total = vocabulary(documents, text, {w.decode() for _, _, t in parts for sent in t for w in sent})
+    docs, at, terms = coded(documents, key, text, words), Terms(words), range(len(df) if total else 0)
     subjects, langs = sorted({s for s, _, _ in examples}), sorted({x for _, x, _ in examples})
-    idf = np.log((1 + total) / df) if len(terms) else np.zeros(0)
+    idf = np.log(1 + total / np.maximum(1, df[: len(terms)]))
     vectors = term_vectors(docs, idf) if len(terms) else np.zeros((0, 1))
     rank, shape = vectors.shape[1], (len(terms), len(subjects), len(langs))
 
-    seeds = [(subjects.index(s), langs.index(x), _positions(at, sent)) for s, x, t in examples for sent in sentences(t)]
-    seeds = [(s, x, np.array(w)) for s, x, w in seeds if w]
+    seeds = [(subjects.index(s), langs.index(x), np.array(at.of(sent))) for s, x, t in parts for sent in t] if total else []
     counts, mass, language = np.zeros(shape), np.zeros(shape[1:]), np.zeros((len(langs), rank))
     for s, x, w in seeds:
         counts[w, s, x] += 1
