@@ -145,7 +145,7 @@ def _enforced(x: str) -> str:
     return x
 
 
-@_query(f"select doc_id, {_enforced('text')} as text from documents where lower(trim(lang)) = 'fr'")
+@_query(f"select doc_id, {_enforced('text')} as text from documents")
 def alphabet_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _texts(spark, sf_dir, "documents", "doc_id", "text")
     return df.select("doc_id", tx.enforce_alphabet(F.col("text")).alias("text"))
@@ -307,7 +307,7 @@ def corpus_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _COUNTS = f"""with s as (select '^' || {_norm('target_gcf', True)} || '$' as s from train_pairs),
-model as (select n::int as n, gram, count(*) as cnt from (select n, substr(s, i, n) as gram from s, (values (1), (2), (3)) as v(n), unnest(range(1, length(s) - n + 2)) as u(i) where length(s) >= n) group by all)"""
+model as (select n::int as n, gram, count(*) as cnt from (select n, substr(s, i, n) as gram from s, (values (1), (2), (3), (4), (5)) as v(n), unnest(range(1, length(s) - n + 2)) as u(i) where length(s) >= n) group by all)"""
 
 
 @_query(_COUNTS + " select n, gram, cnt from model")
@@ -319,7 +319,7 @@ def charlm_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     _COUNTS
     + f""", tot as (select sum(cnt) as total from model where n = 1),
 v as (select pair_id, '^' || {_norm('target_gcf', True)} || '$' as s from val_pairs),
-spots as (select pair_id, i, substr(s, greatest(i - 2, 1), i - greatest(i - 2, 1) + 1) as gram from v, unnest(range(2, length(s) + 1)) as u(i)),
+spots as (select pair_id, i, substr(s, greatest(i - 4, 1), i - greatest(i - 4, 1) + 1) as gram from v, unnest(range(2, length(s) + 1)) as u(i)),
 tries as (select distinct gram, k, right(gram, k + 1) as sub, left(right(gram, k + 1), k) as ctx from spots, unnest(range(0, length(gram))) as w(k)),
 found as (select t.gram, t.k, pow(0.4, length(t.gram) - 1 - k) * a.cnt / (case when k = 0 then total else b.cnt end) as p from tries t join model a on a.gram = t.sub left join model b on b.gram = t.ctx cross join tot where k = 0 or b.cnt is not null),
 best as (select gram, max_by(p, k) as p from found group by 1),
@@ -401,7 +401,7 @@ def confidence_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("id", "avg_logprob", "compression_ratio", "perplexite_corrigee", "perplexite_lm", "taux_edition", "violations_gerec2").distinct().select("id", c.alias("confidence"))
 
 
-_BUCKETS = """select format('{:.1f}', floor(confiance * 10) / 10) as bucket, round(avg(wer_estime), 4) as wer from dataset_corrected where confiance is not null and wer_estime is not null and confiance < 0.6 group by 1"""
+_BUCKETS = """select format('{:.1f}', floor(confiance * 10) / 10) as bucket, round(avg(wer_estime), 4) as wer from dataset_corrected where confiance is not null and wer_estime is not null group by 1"""
 
 
 @_query(_BUCKETS)
