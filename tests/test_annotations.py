@@ -85,3 +85,53 @@ def test_two_sinks_and_flush(spark, tmp_path):
     judged = stream.withColumn("why", F.when(F.col("note") == 1, "rebut"))
     log.two_sinks(judged, "why", f"{tmp_path}/ok", f"{tmp_path}/no", f"{tmp_path}/cp2").awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/ok").count() == 5 and spark.read.parquet(f"{tmp_path}/no").count() == 1
+
+
+def test_late_events_give_the_versions_of_all_events_sorted(spark, tmp_path):
+    """Batches out of order: late events add versions, change them and join them."""
+    import random
+
+    rng = random.Random(5)
+    rows = [event(f"s{rng.randrange(3)}", rng.choice("ab"), rng.choice(["x", "y", None]), rng.randrange(60) * HOUR // 4, note=rng.randrange(6), late=i) for i in range(120)]
+    for n in range(4):
+        events(spark, rows[n::4]).select("id", "annotateur", "corrected", "note", "at", "recu_le").coalesce(1).write.parquet(f"{tmp_path}/in/{n:02d}")
+    stream = spark.readStream.schema("id string, annotateur string, corrected string, note int, at bigint, recu_le timestamp").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+    log.run_versions(log.version_updates(stream), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    cols = ("id", "annotateur", "version", "corrected", "note", "at")
+    got = sorted((tuple(r[c] for c in cols) for r in log.current_versions(spark, f"{tmp_path}/out").collect()), key=str)
+    assert got == sorted((tuple(r[c] for c in cols) for r in m.versions(events(spark, rows)).collect()), key=str)
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 4
+
+
+def test_flush_over_several_batches_keeps_every_event(spark, tmp_path):
+    rows = LOG + LOG[:2]  # events that the log holds twice stay two
+    for n, part in enumerate((rows[:3], rows[3:5], rows[5:])):
+        events(spark, part).coalesce(1).write.parquet(f"{tmp_path}/log/{n}")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/log")
+    path, schema = f"{tmp_path}/flushed", events(spark, []).schema
+    log.flush_log(stream, path, f"{tmp_path}/cp").awaitTermination()
+    shown = lambda df: sorted(map(str, (tuple(r[c] for c in sorted(df.columns)) for r in df.collect())))
+    assert shown(log.flushed_log(spark, path, schema)) == shown(events(spark, rows))
+    # a batch that died before it was finished does not count, and its replay starts from the generation before
+    import shutil
+
+    last = max((tmp_path / "flushed").glob("gen=*"))
+    (last / "_SUCCESS").unlink()
+    assert log.flushed_log(spark, path, schema).count() < len(rows)
+    (last / "_SUCCESS").touch()
+    gone = log.vacuum_log(spark, path)
+    assert gone > 0 and shown(log.flushed_log(spark, path, schema)) == shown(events(spark, rows)) and log.vacuum_log(spark, path) == 0
+    shutil.rmtree(tmp_path / "flushed")
+    assert log.flushed_log(spark, path, schema).count() == 0
+
+
+def test_fail_fast_counts_rows_over_batches(spark, tmp_path):
+    import pytest
+
+    for n in range(4):
+        events(spark, LOG[:1]).coalesce(1).write.parquet(f"{tmp_path}/log/{n}")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/log").withColumn("why", F.lit("x"))
+    with pytest.raises(Exception, match="all rejected"):
+        log.two_sinks(stream, "why", f"{tmp_path}/ok", f"{tmp_path}/no", f"{tmp_path}/cp", fail_fast=3).awaitTermination()
+    log.two_sinks(stream, "why", f"{tmp_path}/ok2", f"{tmp_path}/no2", f"{tmp_path}/cp2", fail_fast=5).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/no2").count() == 4
