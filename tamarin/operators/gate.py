@@ -14,19 +14,25 @@ HALLUCINATIONS = (
     r"like et abonne", r"^\s*musique\s*\.?\s*$", r"^\s*\.{2,}\s*$", r"transcription par",
 )
 #: Creole function words, compared without accents.
-CREOLE = (
-    "adan", "an", "apa", "asi", "ay", "ba", "deye", "fe", "gen", "i", "ka", "ke", "ki", "kon", "la", "li", "moun", "mwen", "nan", "ni", "nou", "on",
-    "ou", "pa", "poko", "pou", "sa", "se", "te", "toujou", "vou", "yo", "yon", "zot",
+CREOLE_WORDS = (
+    "ka", "an", "sé", "se", "on", "té", "te", "yo", "pa", "ou", "ki", "pou",
+    "adan", "kon", "sa", "vou", "moun", "fè", "ni", "la", "mwen", "nou", "ay",
+    "dèyè", "asi", "zot", "i", "ba", "kè", "ké", "apa", "poko", "toujou", "yon",
+    "nan", "li", "gen",
 )
 #: French function words.
 FRENCH = (
-    "alors", "au", "aussi", "aux", "avec", "bien", "ce", "cette", "chose", "comme", "dans", "des", "donc", "du", "elle", "est", "faire", "fait", "il",
-    "je", "les", "leur", "mais", "même", "nous", "par", "parce", "peut", "plus", "pour", "que", "qui", "ses", "son", "sont", "sur", "toujours", "tout",
-    "très", "une", "vous", "être",
+    "est", "les", "que", "pour", "dans", "je", "vous", "nous", "avec", "mais",
+    "plus", "cette", "comme", "tout", "être", "sont", "fait", "bien", "peut",
+    "même", "très", "leur", "elle", "des", "une", "aux", "par", "sur", "son",
+    "ses", "qui", "au", "du", "il", "ce", "donc", "alors", "parce", "toujours",
+    "aussi", "chose", "faire",
 )
 #: Letters of a word, and their plain forms.
 WORD = "([a-zàâäéèêëîïôöùûüçòñ']+)"
 ACCENTED, PLAIN = "àâäéèêëîïôöùûüçòñ", "aaaeeeeiioouuucon"
+#: The creole words as they are compared, without accents.
+CREOLE = tuple(dict.fromkeys(w.translate(str.maketrans(ACCENTED, PLAIN)) for w in CREOLE_WORDS))
 
 
 def rejection(text: Column) -> Column:
