@@ -8,13 +8,25 @@ from pyspark.sql import functions as F
 from tamarin.functions.text import bind, normalize_surface, plain_text, tokens
 
 
+#: Distinct tokens of a pair that fit the plain characters; beyond, the supplementary ones follow, a million of them.
+PLAIN_CODES = 35_000
+
+
 def token_distance(a: Column, b: Column) -> Column:
     """Edit distance of two token arrays: each distinct token of the pair becomes one character, so the built-in distance counts
-    tokens. For up to about 35,000 distinct tokens a pair."""
+    tokens. A pair of more than a million distinct tokens raises an error."""
 
     def distance(x: Column) -> Column:
-        code = lambda t: F.array_join(F.transform(t, lambda w: F.decode(F.unhex(F.hex(F.lit(0x4E00 - 1) + F.array_position(x.known, w))), "UTF-16BE")), "")
-        return F.levenshtein(code(x.a), code(x.b))
+        def code(t: Column, wide: bool) -> Column:
+            at = lambda w: F.array_position(x.known, w)
+            if not wide:
+                return F.array_join(F.transform(t, lambda w: F.decode(F.unhex(F.hex(F.lit(0x4E00 - 1) + at(w))), "UTF-16BE")), "")
+            point = lambda w: F.when(at(w) <= PLAIN_CODES, F.lit(0x4E00 - 1) + at(w)).otherwise(F.lit(0x10000 - PLAIN_CODES) + at(w))
+            return F.array_join(F.transform(t, lambda w: F.decode(F.unhex(F.lpad(F.hex(point(w)), 8, "0")), "UTF-32")), "")
+
+        few = F.size(x.known) <= PLAIN_CODES
+        most = F.when(F.size(x.known) > 1_000_000, F.raise_error(F.lit("more than a million distinct tokens")).cast("int"))
+        return F.when(few, F.levenshtein(code(x.a, False), code(x.b, False))).otherwise(F.coalesce(most, F.levenshtein(code(x.a, True), code(x.b, True))))
 
     both = bind(F.struct(a.alias("a"), b.alias("b")), lambda x: F.struct(x.a.alias("a"), x.b.alias("b"), F.array_distinct(F.concat(x.a, x.b)).alias("known")))
     return bind(both, distance)

@@ -78,6 +78,10 @@ def diagnostic_sheet(df: DataFrame, audio: str, text: str, n: int, seed: str, le
     return few.select(F.format_string("diag_%04d", F.row_number().over(own) - 1).alias("segment_id"), "audio_ref", "whisper_ht", F.lit("").alias("corrected"), F.lit("").alias("notes"))
 
 
+#: Rows a calibration table may have.
+MOST_BUCKETS = 1000
+
+
 def calibration(df: DataFrame, confidence: str, wer: str) -> DataFrame:
     """``bucket, wer``: the mean error rate per tenth of confidence, 4 places; at most eleven rows."""
     return df.where(F.col(confidence).isNotNull() & F.col(wer).isNotNull()).groupBy(bucket(F.col(confidence)).alias("bucket")).agg(F.round(F.avg(wer), 4).alias("wer"))
@@ -85,8 +89,11 @@ def calibration(df: DataFrame, confidence: str, wer: str) -> DataFrame:
 
 def estimate_wer(df: DataFrame, confidence: str, table: DataFrame, into: str = "wer_estime") -> DataFrame:
     """``df`` with the error rate of its confidence's bucket, else of the nearest bucket (the lower on ties); half the missing
-    confidence where the table is empty. The table has at most eleven rows and becomes a literal."""
-    rows = sorted((float(r["bucket"]), r["wer"]) for r in table.limit(12).collect())
+    confidence where the table is empty. The table, eleven rows from ``calibration``, becomes a literal; one of more than MOST_BUCKETS
+    rows raises ValueError."""
+    rows = sorted((float(r["bucket"]), r["wer"]) for r in table.limit(MOST_BUCKETS + 1).collect())
+    if len(rows) > MOST_BUCKETS:
+        raise ValueError(f"more than {MOST_BUCKETS} buckets")
     c = F.col(confidence)
     if not rows:
         return df.withColumn(into, F.round(F.greatest(F.lit(0.0), 0.5 * (1 - c)), 4))
@@ -118,3 +125,44 @@ def inject_witnesses(shown: DataFrame, index: DataFrame, witnesses: DataFrame, s
     two = cand.groupBy("c").agg(F.max(F.struct("t", "m", "d")).alias("s")).orderBy("c").limit(2)
     put = two.select("c", "s.*", ((F.row_number().over(Window.orderBy("c")) - 1) * 6 + 2.5).alias("p"), F.lit(True).alias("temoin"))
     return rows.unionByName(put).select((F.row_number().over(Window.orderBy("p", "c")) - 1).alias("position"), "c", "t", "m", "d", "temoin")
+
+
+def page_with_total(found: DataFrame, offset: int = 0, limit: int = 200) -> DataFrame:
+    """``page`` with ``total``, the number of rows found before the page was cut."""
+    return page(found, offset, limit).crossJoin(F.broadcast(found.agg(F.count("*").alias("total"))))  # one row of one number
+
+
+def known_paths(asked: DataFrame, path: str, index: DataFrame) -> DataFrame:
+    """Of the rows of ``asked`` those whose ``path`` the index holds: no other file is ever served."""
+    return asked.join(index.select(F.col("c").alias(path)).distinct(), path, "left_semi")
+
+
+def witness_counts(witnesses: DataFrame, index: DataFrame) -> DataFrame:
+    """One row ``known, outside``: witness rows inside and outside the index; with an empty index all count as known."""
+    marked = witnesses.join(index.select("c", F.lit(True).alias("here")).distinct(), "c", "left")
+    sums = marked.agg(F.count("here").alias("a"), F.count("*").alias("n"))
+    return sums.crossJoin(F.broadcast(index.select(F.count("*").alias("size")))).select(F.when(F.col("size") == 0, F.col("n")).otherwise(F.col("a")).alias("known"), F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("n") - F.col("a")).alias("outside"))
+
+
+def lot_listing(chosen: DataFrame, name: str, sizes: DataFrame | None = None) -> DataFrame:
+    """One row of a lot for the listing of lots: ``lot, segments, minutes, octets``; ``sizes(c, length)`` gives the files' bytes."""
+    rows = chosen if sizes is None else chosen.join(sizes.groupBy("c").agg(F.max("length").alias("length")), "c", "left")
+    octets = F.lit(0).cast("long") if sizes is None else F.coalesce(F.sum("length"), F.lit(0))
+    return rows.agg(F.count("*").alias("segments"), F.round(F.coalesce(F.sum("d"), F.lit(0)) / 60_000, 1).alias("minutes"), octets.alias("octets")).select(F.lit(name).alias("lot"), "segments", "minutes", "octets")
+
+
+def progress(keys: DataFrame, done: DataFrame, rejected: DataFrame, key: str, seconds: float) -> DataFrame:
+    """One row ``total, done, rejected, left, per_second, eta_s`` of a pass that has run for ``seconds``; null rates before the first
+    row is done."""
+    mark = lambda df, name: df.select(key, F.lit(True).alias(name)).distinct()
+    x = keys.select(key).distinct().join(mark(done, "d"), key, "left").join(mark(rejected, "r"), key, "left")
+    sums = x.agg(F.count("*").alias("total"), F.count("d").alias("done"), F.count(F.when(F.col("d").isNull(), F.col("r"))).alias("rejected"))
+    sums = sums.withColumn("left", F.col("total") - F.col("done") - F.col("rejected")).withColumn("per_second", F.when(F.col("done") + F.col("rejected") > 0, (F.col("done") + F.col("rejected")) / F.lit(float(seconds))))
+    return sums.withColumn("eta_s", F.round(F.col("left") / F.col("per_second"), 1)).withColumn("per_second", F.round("per_second", 3))
+
+
+def audit_sheet(high: DataFrame, n: int, seed: str) -> DataFrame:
+    """A sample of high-confidence segments for people to check, its two last columns blank: ``id, audio, whisper_ht, gcf_corrige,
+    confiance, wer_estime, verite_terrain, verdict``."""
+    cols = ("id", "audio", "whisper_ht", "gcf_corrige", "confiance", "wer_estime")
+    return sample(high.select(*cols), "id", n, seed).select(*cols, F.lit("").alias("verite_terrain"), F.lit("").alias("verdict"))

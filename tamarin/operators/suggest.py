@@ -23,19 +23,31 @@ def prefix_matches(inputs: DataFrame, words: DataFrame, most: int = PREFIX_MATCH
     """``input, word, freq, distance, rank``: the most frequent words that begin with the input, accents ignored. Inputs are joined
     to exploded prefixes, an equi-join; each prefix keeps its ``most`` best words beforehand."""
     asked = inputs.select("input").where(F.length("input") >= 2).distinct().withColumn("prefix", fold(F.col("input")))
-    lengths = [r[0] for r in asked.select(F.length("prefix")).distinct().limit(64).collect()]
-    parts = words.select("word", "freq", "folded", F.explode(F.array(*map(F.lit, lengths or [0]))).alias("n")).where(F.length("folded") >= F.col("n")).withColumn("prefix", F.substring(F.col("folded"), F.lit(1), F.col("n")))
-    best = parts.withColumn("rank", F.row_number().over(Window.partitionBy("prefix").orderBy(F.desc("freq"), "word"))).where(F.col("rank") <= most)
+    longest = asked.agg(F.max(F.length("prefix"))).first()[0] or 0  # one number
+    parts = words.select("word", "freq", "folded", F.explode(F.sequence(F.lit(0), F.least(F.length("folded"), F.lit(longest)))).alias("n")).withColumn("prefix", F.substring(F.col("folded"), F.lit(1), F.col("n")))
+    wanted = parts.join(asked.select("prefix").distinct(), "prefix", "left_semi")
+    best = wanted.withColumn("rank", F.row_number().over(Window.partitionBy("prefix").orderBy(F.desc("freq"), "word"))).where(F.col("rank") <= most)
     return asked.join(best, "prefix").select("input", "word", "freq", F.lit(0).alias("distance"), "rank")
 
 
+def deletions(word: Column, edits: int = EDITS) -> Column:
+    """The word and all that is left of it after up to ``edits`` deletions. Two words within so many edits have one in common."""
+    one = lambda w: F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))
+    some = lambda w: F.when(F.length(w) > 0, one(w)).otherwise(F.array().cast("array<string>"))
+    out = level = F.array(word)
+    for _ in range(edits):
+        level = F.array_distinct(F.flatten(F.transform(level, some)))
+        out = F.array_union(out, level)
+    return out
+
+
 def fuzzy_matches(inputs: DataFrame, words: DataFrame, most: int = SHOWN, folded: bool = True) -> DataFrame:
-    """``input, word, freq, distance, rank``: words within EDITS edits, nearest and then most frequent first. The length difference
-    bounds the edits, so lengths are joined exactly in 2 * EDITS + 1 copies of the input."""
+    """``input, word, freq, distance, rank``: words within EDITS edits, nearest and then most frequent first. Both sides are joined
+    by what is left of them after up to EDITS deletions, so the keys are as many as the words and no length gathers in one task."""
     text = fold(F.col("input")) if folded else F.lower("input")
-    asked = inputs.select("input").where(F.length("input") >= 3).distinct().withColumn("a", text).withColumn("n", F.explode(F.transform(F.sequence(F.lit(-EDITS), F.lit(EDITS)), lambda k: F.length(F.col("a")) + k)))
-    b = F.col("folded") if folded else F.col("word")
-    near = asked.join(words.withColumn("b", b).withColumn("n", F.length("b")), "n").withColumn("distance", F.levenshtein("a", "b", EDITS)).where("distance >= 0")
+    asked = inputs.select("input").where(F.length("input") >= 3).distinct().withColumn("a", text).withColumn("part", F.explode(deletions(F.col("a"))))
+    held = words.withColumn("b", F.col("folded") if folded else F.col("word")).withColumn("part", F.explode(deletions(F.col("b"))))
+    near = asked.join(held, "part").select("input", "a", "word", "freq", "b").distinct().withColumn("distance", F.levenshtein("a", "b", EDITS)).where("distance >= 0")
     return near.withColumn("rank", F.row_number().over(Window.partitionBy("input").orderBy("distance", F.desc("freq"), "word"))).where(F.col("rank") <= most).select("input", "word", "freq", "distance", "rank")
 
 

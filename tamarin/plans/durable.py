@@ -1,12 +1,13 @@
 """Intermediate tables that survive the loss of executors.
 
 A lineage cut goes to the folder named in ``spark.checkpoint.dir``, which every executor of a cluster shares. Only where that
-setting is unset (tests, one machine) a temporary folder takes its place.
+setting is unset and the session runs on one machine (tests) a temporary folder takes its place; on a cluster that is an error.
 """
 
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; one of our own only where the session names none."""
+    """The session's shared folder; one of our own only where a local session names none."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="tamarin-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -31,6 +34,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed with all it holds when the interpreter ends."""
+    path = f"{shared_dir(spark)}/tamarin/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
 def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet into the shared folder and return a scan of it.
 
@@ -38,9 +48,8 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     table is removed when the interpreter ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tamarin/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

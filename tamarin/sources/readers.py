@@ -90,6 +90,12 @@ def corrected_pairs(df: DataFrame, source: str = "whisper_ht", target: str = "co
     return pairs.where("src <> '' and tgt <> ''")
 
 
+def skipped_pairs(df: DataFrame, source: str = "whisper_ht", target: str = "corrected") -> DataFrame:
+    """One row ``kept, skipped``: how many rows ``corrected_pairs`` takes and how many it drops."""
+    whole = (normalize_surface(F.col(source)) != "") & (normalize_surface(F.col(target)) != "")
+    return df.select(whole.alias("whole")).agg(F.count_if("whole").alias("kept"), F.count_if(~F.col("whole")).alias("skipped"))
+
+
 def corrections(spark: SparkSession, path: str) -> DataFrame:
     """The correction log of a directory of JSON lines; a missing annotator is the file's stem."""
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.jsonl?)?$", 1)
@@ -108,9 +114,9 @@ def lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 
 def audio_files(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".mp3", ".wav", ".flac", ".ogg", ".m4a")) -> DataFrame:
-    """``path, length`` of all audio files below ``path``; their bytes are never read."""
+    """``path, length`` of all audio files below ``path`` in the order of their paths; their bytes are never read."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    return df.where(F.rlike(F.lower("path"), F.lit("(" + "|".join(s.replace(".", r"\.") for s in suffixes) + ")$")))
+    return df.where(F.rlike(F.lower("path"), F.lit("(" + "|".join(s.replace(".", r"\.") for s in suffixes) + ")$"))).orderBy("path")
 
 
 def lot_segments(spark: SparkSession, path: str) -> DataFrame:
