@@ -89,9 +89,14 @@ def status(note: Column, corrected: Column) -> Column:
 MILESTONES = ("ouvert", "ecoute", "edite", "note", "valide")
 
 
-def export(v: DataFrame, index: DataFrame) -> DataFrame:
-    """The 18 export columns, one row per version; unknown segments keep empty source columns. An index path held several times
-    gives its greatest row."""
+def js_time(ms: Column) -> Column:
+    """Epoch milliseconds as UTC time with milliseconds and Z; empty for 0."""
+    return F.when(ms == 0, "").otherwise(F.concat(F.date_format(F.to_utc_timestamp(F.timestamp_millis(ms), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("Z")))
+
+
+def export(v: DataFrame, index: DataFrame, *more: str) -> DataFrame:
+    """The 18 export columns, one row per version, and ``more`` of its columns; unknown segments keep empty source columns. An index
+    path held several times gives its greatest row."""
     seg = index.groupBy(F.col("c").alias("id")).agg(F.max(F.struct(F.coalesce("t", F.lit("")).alias("t"), F.coalesce("m", F.lit("")).alias("m"), F.coalesce("d", F.lit(0)).alias("d"))).alias("s"))
     note = F.coalesce("note", F.lit(0))
     stamp = lambda k: iso_time(F.element_at("jalons", k))
@@ -99,10 +104,20 @@ def export(v: DataFrame, index: DataFrame) -> DataFrame:
         F.col("id").alias("segment_id"), F.coalesce("s.t", F.lit("")).alias("whisper"), F.coalesce("s.m", F.lit("")).alias("motif"), F.coalesce("s.d", F.lit(0)).cast("long").alias("duree_ms"),
         F.coalesce("corrected", F.lit("")).alias("corrected"), F.coalesce("notes", F.lit("")).alias("notes"), "annotateur", F.col("version").cast("int").alias("version"),
         F.when(note != 0, note.cast("string")).otherwise("").alias("rating"), status(F.col("note"), F.col("corrected")).alias("status"), F.when(F.col("vote"), "1").otherwise("").alias("vote"),
-        F.coalesce("ecoute_ms", F.lit(0)).cast("long").alias("ecoute_ms"), F.coalesce("lectures", F.lit(0)).cast("int").alias("lectures"), *(F.coalesce(stamp(k), F.lit("")).alias(f"{k}_a") for k in MILESTONES),
+        F.coalesce("ecoute_ms", F.lit(0)).cast("long").alias("ecoute_ms"), F.coalesce("lectures", F.lit(0)).cast("int").alias("lectures"), *(F.coalesce(stamp(k), F.lit("")).alias(f"{k}_a") for k in MILESTONES), *more,
     )
 
 
+def client_export(v: DataFrame, index: DataFrame) -> DataFrame:
+    """The 17 columns of the page's own export, no version among them: the latest version of each segment and annotator that was
+    worked on, which has a text, a note or was skipped. Times end in Z and have milliseconds."""
+    worked = filled(F.col("corrected")) | F.coalesce("skipped", F.lit(False)) | (F.coalesce("note", F.lit(0)) != 0)
+    rows = latest(v).where(worked)
+    stamps = {f"{k}_a": F.coalesce(js_time(F.element_at("jalons", k)), F.lit("")) for k in MILESTONES}
+    out = export(rows.select(*(c for c in rows.columns if c != "jalons"), F.create_map().cast("map<string,bigint>").alias("jalons"), *(x.alias(f"_{c}") for c, x in stamps.items())), index, *(f"_{c}" for c in stamps))
+    return out.drop("version", *stamps).withColumnsRenamed({f"_{c}": c for c in stamps})
+
+
 def clean_milestones(jalons: Column) -> Column:
     """Milestones with alphabetic names and non-negative values."""
     return F.map_filter(jalons, lambda k, t: F.rlike(k, F.lit(r"^\p{L}+$")) & (t >= 0))

@@ -37,6 +37,15 @@ def agreement(ranked: DataFrame, least: float = 0.85) -> DataFrame:
     return out.select("audio", "source", "target", F.round("accord", 4).alias("accord"), (F.coalesce("others", F.lit(0)) + 1).cast("int").alias("n_hypotheses"), ((F.coalesce("others", F.lit(0)) > 0) & (F.col("accord") >= least)).alias("kept"))
 
 
+def pseudo_statistics(agreed: DataFrame) -> DataFrame:
+    """One row of figures of ``agreement``'s rows: recordings, those with several hypotheses, kept ones, mean agreement of both."""
+    several = F.col("n_hypotheses") > 1
+    return agreed.agg(
+        F.count("*").alias("recordings"), F.count_if(several).alias("several"), F.count_if("kept").alias("kept"), F.round(F.avg(F.when(several, F.col("accord"))), 4).alias("mean_agreement"),
+        F.round(F.avg(F.when(F.col("kept"), F.col("accord"))), 4).alias("mean_agreement_kept"),
+    )
+
+
 def collect_hypotheses(ranked: DataFrame) -> DataFrame:
     """``audio, hypotheses ARRAY<STRUCT>`` in rank order; a recording has a bounded number of them."""
     one = F.struct("rank", "text", "temperature", "avg_logprob", "lm_logprob", "score_fusion")

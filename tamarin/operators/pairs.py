@@ -31,6 +31,12 @@ def with_split(df: DataFrame, train: float = 0.8, val: float = 0.1) -> DataFrame
     return df.withColumn("split", split_of(F.col("fp"), train, val))
 
 
+def split_statistics(df: DataFrame, text: str) -> DataFrame:
+    """Per split: ``pairs, tokens, characters`` of ``text``."""
+    rows = df.select("split", F.size(tokenize(F.col(text))).alias("w"), F.length(text).alias("n"))
+    return rows.groupBy("split").agg(F.count("*").alias("pairs"), F.sum("w").cast("long").alias("tokens"), F.sum("n").cast("long").alias("characters"))
+
+
 def leaked_fingerprints(train: DataFrame, other: DataFrame, text: str) -> DataFrame:
     """Distinct fingerprints found on both sides; those of texts without words do not count."""
     fp = lambda df: df.where(F.length(canonical(F.col(text))) > 0).select(fingerprint(F.col(text)).alias("fp")).distinct()

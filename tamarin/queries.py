@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,23 +13,27 @@ from tamarin.functions.metrics import capped_cer, char_errors, corpus_rate, word
 from tamarin.operators import annotations as an
 from tamarin.operators import charlm, evaluate, gate, ingest, nbest, pairs, rules, suggest
 from tamarin.plans import correct
-from tamarin.plans.durable import durable, spread
+from tamarin.plans.durable import durable, scratch, spread
 from tamarin.sources import readers
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+def registry():
+    """Two tables, of queries and of their SQL, and a decorator that registers a function in them under its name."""
+    queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    oracles: dict[str, str] = {}
 
+    def query(sql: str | None = None):
+        def add(f):
+            queries[f.__name__] = f
+            if sql is not None:
+                oracles[f.__name__] = sql
+            return f
 
-def _query(sql: str | None = None):
-    """Register a query under its function's name, with its SQL."""
+        return add
 
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLES[f.__name__] = sql
-        return f
+    return queries, oracles, query
 
-    return add
+
+QUERIES, ORACLES, _query = registry()
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -172,6 +175,10 @@ fit as (select *, {_fp('sentence')} as fp from s where length(sentence) between
 first as (select * from (select *, row_number() over (partition by fp order by doc_id, pos) as rn from fit) where rn = 1)"""
 
 
+def _sentences_sql() -> str:
+    return _SENTENCES
+
+
 @_query(_SENTENCES + " select doc_id, pos, sentence, fp from first")
 def sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first seen of each sentence of the documents."""
@@ -229,6 +236,39 @@ def rules_unigram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("pair_id", rules.apply_word_rules(tx.tokenize(F.col("source_pseudo_ht")), _ONE_WORD).alias("rewritten"))
 
 
+_PHRASES = {}
+for _s, _t in rules.SEED_WORDS:
+    _PHRASES.setdefault(_s, _t)
+_TABLE = "map {" + ", ".join(f"{_lit(k)}: {_lit(v)}" for k, v in _PHRASES.items()) + "}"
+_TWO, _ONE = "lower(w[i]) || ' ' || lower(w[i + 1])", "lower(w[i])"
+
+
+def _cased_as(model: str, new: str) -> str:
+    return f"case when length({model}) > 1 and {model} = upper({model}) and {model} <> lower({model}) then upper(split_part({new}, ' ', 1)) || substr({new}, length(split_part({new}, ' ', 1)) + 1) when {model}[1] = upper({model}[1]) and {model}[1] <> lower({model}[1]) then upper({new}[1]) || {new}[2:] else {new} end"
+
+
+#: Left to right, two words before one: the fold's state is the text so far and whether the next word is used up.
+_GREEDY = f"""list_reduce(range(1, len(w) + 1), lambda acc, i: case when acc[2] = 'x' then [acc[1], ''] when i < len(w) and {_TABLE}[{_TWO}] is not null then [acc[1] || ' ' || {_cased_as('w[i]', f'{_TABLE}[{_TWO}]')}, 'x']
+ when {_TABLE}[{_ONE}] is not null then [acc[1] || ' ' || {_cased_as('w[i]', f'{_TABLE}[{_ONE}]')}, ''] else [acc[1] || ' ' || w[i], ''] end, ['', ''])[1]"""
+
+
+def _patterns(x: str) -> str:
+    """The starting patterns, with Unicode word edges; twice where a match uses up the edge of the next one."""
+    edge = "[^\\p{L}\\p{N}_]"
+    for _ in range(2):
+        x = f"regexp_replace({x}, '(^|{edge})e($|{edge})', '\\1é\\2', 'g')"
+    for _ in range(2):
+        x = f"regexp_replace({x}, '([\\p{{L}}\\p{{N}}_]{{2,}})e($|{edge})', '\\1é\\2', 'g')"
+    return f"regexp_replace({x}, '(^|{edge})ou{_SP}+se($|{edge})', '\\1ou sé\\2', 'g')"
+
+
+@_query(f"select pair_id, {_norm(_fix('t'))} as rewritten from (select pair_id, {_patterns('substr(t, 2)')} as t from (select pair_id, coalesce({_GREEDY}, '') as t from (select pair_id, {_tokens(_norm('source_pseudo_ht'))} as w from test_pairs)))")
+def rules_seeded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All starting rules: several words before one, the first word's case, then the patterns."""
+    df = _table(spark, sf_dir, "test_pairs", "pair_id", "source_pseudo_ht")
+    return rules.apply_rules(df, "pair_id", "source_pseudo_ht", rules.seed_rules(spark)).select("pair_id", "rewritten")
+
+
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.corrected_pairs(_texts(spark, sf_dir, "diagnostic_to_correct", "whisper_ht", "corrected").distinct()).withColumn("key", F.md5(F.concat_ws("|", "src", "tgt").cast("binary")))
 
@@ -277,6 +317,18 @@ def word_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("pair_id", a.alias("words"), rules.word_diff(a, tx.tokenize(F.col("target_gcf"))).alias("differs"))
 
 
+_LCS = _DP.replace("if({a}[i] = {b}[j], 0, 1)", "if({a}[i] = {b}[j], 0, 2)")
+
+
+@_query(
+    f"""select pair_id, len(a)::int as words, ((len(a) - len(b) + {_LCS.format(a='a', b='b')}) / 2)::bigint as differing
+from (select pair_id, list_transform({_tokens(_norm('source_pseudo_ht'))}, lambda x: lower(x)) as a, list_transform({_tokens(_norm('target_gcf'))}, lambda x: lower(x)) as b from test_pairs)"""
+)
+def word_difference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many source words lie outside a longest common subsequence with the target."""
+    return word_differences(spark, sf_dir).select("pair_id", F.size("words").alias("words"), F.size(F.filter("differs", lambda x: x)).cast("long").alias("differing"))
+
+
 # ---- error rates and language model --------------------------------------------------------------------------------------------
 
 
@@ -340,7 +392,13 @@ def perplexity_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charlm.quantile_by_index(_table(spark, sf_dir, "dataset_corrected", "perplexite_lm"), "perplexite_lm")
 
 
-@_query()
+@_query(
+    f"""with t as (select list_transform({_tokens(_norm('target_gcf'))}, lambda x: lower(x)) as w from train_pairs),
+g as (select w[i] as prev, w[i + 1] as next, count(*) as n from t, unnest(range(1, len(w))) as u(i) group by all),
+p as (select prev, next, n / sum(n) over (partition by prev) as prob from g),
+r as (select *, row_number() over (partition by prev order by prob desc, next)::int as rank from p)
+select prev, next, prob, rank from r where rank <= 5"""
+)
 def next_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _table(spark, sf_dir, "train_pairs", "target_gcf").select(tx.tokenize(F.col("target_gcf")).alias("w"))
     return charlm.next_words(df, "w")
@@ -548,7 +606,13 @@ def segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.page(ingest.search(_table(spark, sf_dir, "segment_index").distinct(), "Voudrait", "français"), 10, 20)
 
 
-@_query()
+@_query(
+    """with i as (select distinct c, t, m, d from segment_index), shown as (select * from i order by c nulls first, t nulls first, m nulls first, d nulls first limit 200),
+r as (select c, t, m, d, (row_number() over (order by c nulls first, t nulls first, m nulls first, d nulls first) - 1)::double as p, false as temoin from shown),
+cand as (select c, max(struct_pack(t := t, m := m, d := d)) as s from i where c in (select c from temoins) and c not in (select c from shown where c is not null) and c not in (select id from corrections where annotateur = 'Météwi' and id is not null) group by 1 order by c limit 2),
+put as (select c, s.t as t, s.m as m, s.d as d, (row_number() over (order by c) - 1) * 6 + 2.5 as p, true as temoin from cand)
+select (row_number() over (order by p, c) - 1)::int as position, c, t, m, d, temoin from (select * from r union all select * from put)"""
+)
 def search_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first page of free browsing with witnesses slipped in."""
     index = _table(spark, sf_dir, "segment_index").distinct()
@@ -577,14 +641,13 @@ def correction_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(_VERSIONS + ' select id, annotateur, version::int as version, corrected, note, "at" from ver')
 def versions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from a stream with state per (segment, annotator)."""
-    from tamarin.plans.durable import shared_dir
     from tamarin.streaming import log
 
-    # the log as a folder of files in time order, as a live log would arrive
-    path = f"{shared_dir(spark)}/tamarin/stream-{abs(hash((sf_dir, tempfile.mktemp()))):x}"
+    # the log as it arrived, in four files, one a trigger; late events come after the newer ones
+    path = scratch(spark, "stream")
     df = _table(spark, sf_dir, "corrections", "id", "annotateur", "corrected", "note", "at", "recu_le")
-    df.write.parquet(f"{path}/in")
-    events = log.event_stream(spark, f"{path}/in", df._jdf.schema().toDDL(), files_per_trigger=10_000)
+    df.repartitionByRange(4, "recu_le").write.parquet(f"{path}/in")
+    events = log.event_stream(spark, f"{path}/in", df._jdf.schema().toDDL(), files_per_trigger=1)
     log.run_versions(log.version_updates(events), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return log.current_versions(spark, f"{path}/out")
 
@@ -679,11 +742,23 @@ def flag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.histogram(an.review_sheet(_log(spark, sf_dir), _table(spark, sf_dir, "segment_index")), "drapeaux")
 
 
-@_query()
+@_query(
+    _VERSIONS
+    + f""", lex as (select distinct lower(unnest(string_split({_plain('target_gcf')}, ' '))) as word from train_pairs),
+l as (select last.*, coalesce(seg.d, 0) as sd, coalesce(seg.t, '') as st, coalesce(ecoute_ms, 0) as e, coalesce(lectures, 0) as p, row_number() over () as n from last left join {_SEG2} i on i.c = last.id where {_filled('corrected')}),
+w as (select n, unnest(list_filter(string_split({_plain('corrected')}, ' '), lambda x: length(x) > 2)) as word from l),
+u as (select n, count(*) as words, count(lex.word) as known from w left join lex using (word) group by 1),
+g as (select l.*, {_gate('corrected')} as why, case when words >= 4 then (words - known) / words end as unknown_share from l left join u using (n)),
+f as (select *, list_filter([case when coalesce(note, 0) = 5 and sd > 0 and (p = 0 or e < 0.5 * sd) then '5 étoiles sans avoir écouté' end, case when p = 0 then 'jamais écouté' when sd > 0 and e < 0.4 * sd then 'écoute partielle' end,
+ case when {_plain('corrected')} = {_plain('st')} and sd > 0 and e < 0.5 * sd then 'validé sans écouter' end, case when why = 'français' then 'correction en français' when why is not null then 'correction : ' || why end,
+ case when unknown_share > 0.7 and {_cer_sql('st', 'corrected')} > 0.5 then 'hors lexique et loin de la source' end], lambda x: x is not null) as drapeaux from g)
+select id, annotateur, array_to_string(drapeaux, ' · ') as drapeaux, st as whisper, corrected as correction, sd::bigint as duree_ms, e as ecoute_ms, p as lectures, coalesce(note, 0) as rating from f where len(drapeaux) > 0"""
+)
 def review_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same as a sheet, judged by a lexicon of the training targets too."""
     lexicon = _table(spark, sf_dir, "train_pairs", "target_gcf").select(F.explode(F.split(tx.plain_text(F.col("target_gcf")), " ")).alias("word"))
-    return an.review_sheet(_log(spark, sf_dir), _table(spark, sf_dir, "segment_index"), lexicon)
+    out = an.review_sheet(_log(spark, sf_dir), _table(spark, sf_dir, "segment_index"), lexicon)
+    return out.withColumn("drapeaux", F.array_join("drapeaux", " · "))
 
 
 @_query(f"select c, round({_cer_sql('ref', 't')}, 6) as cer from (select distinct c, t from segment_index) join temoins using (c)")
@@ -703,22 +778,24 @@ def _dictionary(spark: SparkSession, sf_dir: str, table: str, column: str) -> Da
 
 _DICT = f"""with dict as (select lower(w) as word, count(*) as freq from (select unnest({_tokens(_norm('target_gcf'))}) as w from train_pairs) where regexp_matches(w, '^\\p{{L}}{{2,}}$') group by 1),
 d as (select *, replace(translate(lower(word), {_lit(tx.FOLD_FROM)}, {_lit(tx.FOLD_TO)}), 'ß', 'ss') as folded from dict)"""
-_INPUTS = ("man", "vé", "Te", "douv", "lekk", "jodii", "pòté", "zz")
-_ASKED = "i as (select unnest(" + _words_sql(_INPUTS) + ") as input), q as (select input, replace(translate(lower(input), " + _lit(tx.FOLD_FROM) + ", " + _lit(tx.FOLD_TO) + "), 'ß', 'ss') as a from i)"
+#: What is asked for: every word of the test sources.
+_ASKED = f"""i as (select distinct w as input from (select unnest({_tokens(_norm('source_pseudo_ht'))}) as w from test_pairs) where regexp_matches(w, '^\\p{{L}}{{2,}}$')),
+q as (select input, replace(translate(lower(input), {_lit(tx.FOLD_FROM)}, {_lit(tx.FOLD_TO)}), 'ß', 'ss') as a from i)"""
 
 
-def _inputs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w, "ka") for w in _INPUTS], "input string, previous string")
+def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = _table(spark, sf_dir, "test_pairs", "source_pseudo_ht").select(F.explode(tx.tokenize(F.col("source_pseudo_ht"))).alias("input"))
+    return words.where(F.rlike("input", F.lit(r"^\p{L}{2,}$"))).distinct().withColumn("previous", F.lit("ka"))
 
 
 @_query(_DICT + ", " + _ASKED + " select input, word, freq, rank from (select input, word, freq, row_number() over (partition by input order by freq desc, word)::int as rank from q join d on starts_with(folded, a) where length(input) >= 2) where rank <= 10")
 def suggest_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suggest.prefix_matches(_inputs(spark), _dictionary(spark, sf_dir, "train_pairs", "target_gcf")).select("input", "word", "freq", "rank")
+    return suggest.prefix_matches(_inputs(spark, sf_dir), _dictionary(spark, sf_dir, "train_pairs", "target_gcf")).select("input", "word", "freq", "rank")
 
 
 @_query(_DICT + ", " + _ASKED + " select input, word, freq, distance, rank from (select *, row_number() over (partition by input order by distance, freq desc, word)::int as rank from (select input, word, freq, levenshtein(a, folded) as distance from q join d on abs(length(folded) - length(a)) <= 2 where length(input) >= 3) where distance <= 2) where rank <= 5")
 def suggest_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = suggest.fuzzy_matches(_inputs(spark), _dictionary(spark, sf_dir, "train_pairs", "target_gcf"))
+    df = suggest.fuzzy_matches(_inputs(spark, sf_dir), _dictionary(spark, sf_dir, "train_pairs", "target_gcf"))
     return df.select("input", "word", "freq", F.col("distance").cast("long").alias("distance"), "rank")
 
 
@@ -727,4 +804,4 @@ def suggest_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Creole first, then French, in the input's case."""
     words = _dictionary(spark, sf_dir, "train_pairs", "target_gcf")
     french = _dictionary(spark, sf_dir, "heldout_items", "text")
-    return suggest.merged(suggest.primary_suggestions(_inputs(spark), words, next_words(spark, sf_dir)), suggest.secondary_suggestions(_inputs(spark), french))
+    return suggest.merged(suggest.primary_suggestions(_inputs(spark, sf_dir), words, next_words(spark, sf_dir)), suggest.secondary_suggestions(_inputs(spark, sf_dir), french))

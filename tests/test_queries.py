@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from tamarin import queries as m
+from tamarin import queries_io as io
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
@@ -40,6 +41,11 @@ def test_sql(spark, name):
     compare(spark, m.QUERIES[name], m.ORACLES[name])
 
 
+@pytest.mark.parametrize("name", sorted(io.ORACLES))
+def test_io_sql(spark, name):
+    compare(spark, io.QUERIES[name], io.ORACLES[name])
+
+
 @pytest.mark.parametrize("name", sorted(set(m.QUERIES) - set(m.ORACLES)))
 def test_runs(spark, name):
     assert m.QUERIES[name](spark, DATA).count() >= 0
