@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import os
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -27,27 +28,36 @@ CAPACITY = 2048
 #: Vocabulary file of a public tokenizer and the pattern it splits by (fixed value).
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Bytes that a vocabulary file may have: it is sent to the tasks.
+VOCABULARY_BYTES = 16_000_000
 #: Texts that one hash bucket of a length is meant for, and the buckets of a length at least and at most.
 PER_BUCKET, BUCKETS = 2_000_000, (16, 4096)
+#: Rows up to which the table of fillings is broadcast.
+SMALL = 500_000
 
 _ENCODERS: dict = {}
 
 
-def _encoder(path: str):
-    if path not in _ENCODERS:
+def _encoder(name: str, packed: bytes):
+    if name not in _ENCODERS:
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _ENCODERS[path] = tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _ENCODERS[path]
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, zlib.decompress(packed).splitlines())}
+        _ENCODERS[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return _ENCODERS[name]
 
 
 def token_counts(df: DataFrame, key: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``<key>, tokens INT`` of every row; null and empty texts have 0 tokens."""
+    """``<key>, tokens INT`` of every row; null and empty texts have 0 tokens. The vocabulary file is read where the query is made and
+    sent to the tasks; one above VOCABULARY_BYTES raises ValueError."""
+    with open(vocabulary, "rb") as f:
+        raw = f.read(VOCABULARY_BYTES + 1)
+    if len(raw) > VOCABULARY_BYTES:
+        raise ValueError(f"the vocabulary has more than {VOCABULARY_BYTES} bytes")
+    packed, name = zlib.compress(raw), os.path.basename(vocabulary)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary).encode_ordinary
+        encode = _encoder(name, packed).encode_ordinary
         for batch in batches:
             n = [len(encode(t)) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], [key, "tokens"])
@@ -108,6 +118,16 @@ def _slots(plan: list[tuple[dict[int, int], int]], base: int) -> list[tuple[int,
     return out
 
 
+def _cells(slots: list[tuple[int, int, int, int, int]]) -> tuple[list[tuple[int, int]], list[tuple[int, int, int, int, int, int]]]:
+    """Ranks of a length fall into cells of one width, as many as it has slots: (length, width) of each, and each slot once for every
+    cell it reaches into, at most twice as many rows as slots."""
+    per: dict[int, list] = {}
+    for s in slots:
+        per.setdefault(s[0], []).append(s)
+    widths = {size: -(-(max(s[2] for s in own) + 1) // len(own)) for size, own in per.items()}
+    return sorted(widths.items()), [(s[0], cell, *s[1:]) for s in slots for cell in range(s[1] // widths[s[0]], s[2] // widths[s[0]] + 1)]
+
+
 def pack(lengths: DataFrame, key: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: ``<key>, piece INT, tokens INT, container LONG``.
 
@@ -140,9 +160,13 @@ def pack(lengths: DataFrame, key: str, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranked.join(offsets, ["size", "bucket"]).join(F.broadcast(spark.createDataFrame(bases, "size int, base long")), "size").select(
         "key", "size", "full", (F.col("rank") + F.col("n_before")).alias("rank"), (F.col("base") + F.col("f_before") + F.col("f_rank")).alias("first_full")
     )
-    # one row per length and filling: bounded by the capacity, not by the texts
-    slot = F.broadcast(spark.createDataFrame(slots, "size int, low long, high long, first long, per long"))
-    shared = ranked.where("size > 0").join(slot, "size").where("rank between low and high").select(
+    # a text looks only at the fillings near its rank
+    widths, cells = _cells(slots)
+    small = F.broadcast if len(cells) <= SMALL else lambda df: df
+    width = F.broadcast(spark.createDataFrame(widths, "size int, width long"))  # one row per length
+    slot = small(spark.createDataFrame(cells, "size int, cell long, low long, high long, first long, per long"))
+    near = ranked.where("size > 0").join(width, "size").withColumn("cell", F.floor(F.col("rank") / F.col("width")))
+    shared = near.join(slot, ["size", "cell"]).where("rank between low and high").select(
         "key", F.col("full").cast("int").alias("piece"), F.col("size").alias("tokens"), (F.col("first") + F.floor((F.col("rank") - F.col("low")) / F.col("per"))).alias("container")
     )
     alone = ranked.where("full > 0").select("key", "first_full", F.explode(F.sequence(F.lit(0), F.col("full").cast("int") - 1)).alias("piece")).select("key", "piece", F.lit(capacity).alias("tokens"), (F.col("first_full") + F.col("piece")).alias("container"))

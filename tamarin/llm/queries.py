@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarin.llm import language, leakage, ledger, lookalike, packing, ranking, repetition, spanish, splits, subjects
-from tamarin.plans.durable import durable, shared_dir
+from tamarin.plans.durable import scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,17 +52,20 @@ RATE = 0.1
 
 
 def p4_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tenth of the paths; holds the sample of every earlier state of the table."""
-    return ledger.stable_sample(_table(spark, sf_dir, "segment_index"), "c", rate=RATE, seed="segments").select("c", "priority")
+    """A tenth of the paths, in two generations against a persisted ledger: those of ``lot-b`` as the table's earlier state, then all.
+    What the first one selected stays in, and the quota grows with the table."""
+    df, path = _table(spark, sf_dir, "segment_index"), scratch(spark, "ledger")
+    ledger.grow_sample(df.where(F.col("c").contains("/lot-b/")), "c", path, rate=RATE, seed="segments")
+    return ledger.grow_sample(df, "c", path, rate=RATE, seed="segments").select("c", "priority")
 
 
 def p4_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two generations against a persisted ledger: 100 of the paths of ``lot-b``, then 300 of all paths."""
-    import uuid
-
-    df, path = _table(spark, sf_dir, "segment_index"), f"{shared_dir(spark)}/tamarin/ledger-{uuid.uuid4().hex}"
-    ledger.grow_sample(df.where(F.col("c").contains("/lot-b/")), "c", path, total=100, seed="segments")
-    return ledger.grow_sample(df, "c", path, total=300, seed="segments").select("c", "generation")
+    """Two generations of exact size: one in twenty of the paths of ``lot-b``, then one in twenty of all paths."""
+    df, path = _table(spark, sf_dir, "segment_index"), scratch(spark, "ledger")
+    for part in (df.where(F.col("c").contains("/lot-b/")), df):
+        total = part.agg(F.count_distinct("c")).first()[0] // 20
+        out = ledger.grow_sample(part, "c", path, total=total, seed="segments")
+    return out.select("c", "generation")
 
 
 def _languages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,8 +172,9 @@ r as (select id, n, len(list_filter(range(1, n + 1), lambda i: coalesce(again[i]
 ORACLES: dict[str, str] = {
     "p2_ranking": _rank_sql(),
     "p4_sample": f"select c, {_BITS} / 4503599627370496.0 as priority from (select distinct c from segment_index where c is not null) where {_BITS} < floor(0.1 * 4503599627370496)",
-    "p4_growth": f"""with k as (select c, {_BITS} as b from (select distinct c from segment_index where c is not null)), one as (select c from k where contains(c, '/lot-b/') order by b, c limit 100)
-select c, 0 as generation from one union all select c, 1 from (select c from k where c not in (select c from one) order by b, c limit 300 - (select count(*) from one))""",
+    "p4_growth": f"""with k as (select c, {_BITS} as b from (select distinct c from segment_index where c is not null)), r as (select *, row_number() over (order by b, c) as n from k where contains(c, '/lot-b/')),
+one as (select c from r where n <= (select count(*) // 20 from k where contains(c, '/lot-b/'))), s as (select c, row_number() over (order by b, c) as n from k where c not in (select c from one))
+select c, 0 as generation from one union all select c, 1 from s where n <= (select count(*) // 20 from k) - (select count(*) from one)""",
     "p6_share": _REPEATS + " select id, n::int as n_words, repeats::int as repeats, round(case when n > 0 then repeats / n else 0 end, 6) as repeat_share from r",
     "p6_found": _REPEATS + " select distinct id from r where n >= 6 and repeats * 10 >= n * 3",
 }

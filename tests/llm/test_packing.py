@@ -68,3 +68,24 @@ def test_token_counts(spark):
     df = spark.createDataFrame([(1, "an ka manjé"), (2, None), (3, ""), (4, "la " * 100_000)], "doc_id long, text string")
     n = {r["doc_id"]: r["tokens"] for r in m.token_counts(df, "doc_id", "text").collect()}
     assert n[2] == n[3] == 0 and n[1] > 2 and n[4] >= 100_000
+
+
+def test_each_rank_meets_its_slot_once():
+    rng = random.Random(9)
+    plan = m.plan_fillings({x: rng.randrange(1, 400) for x in range(1, 40)}, 60)
+    slots = m._slots(plan, 0)
+    widths, cells = m._cells(slots)
+    width = dict(widths)
+    assert len(cells) <= 2 * len(slots)
+    for size, w in widths:
+        last = max(s[2] for s in slots if s[0] == size)
+        for rank in range(last + 1):
+            assert sum(c[0] == size and c[1] == rank // w and c[2] <= rank <= c[3] for c in cells) == 1
+    assert width.keys() == {s[0] for s in slots}
+
+
+def test_vocabulary_is_sent_and_bounded(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(1, "an ka")], "doc_id long, text string")
+    monkeypatch.setattr(m, "VOCABULARY_BYTES", 10)
+    with pytest.raises(ValueError):
+        m.token_counts(df, "doc_id", "text")
