@@ -47,7 +47,7 @@ SHARE = 0.25
 #: Words of shared terms that a worker keeps.
 CACHE = 500_000
 #: Documents a task works on at once.
-CHUNK = 1000
+CHUNK = 200
 #: Blocks a summed matrix travels in.
 BLOCKS = 64
 
@@ -172,12 +172,10 @@ def term_vectors(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
             x = np.log1p(times).astype(np.float32) * idf32[word]
             norm = np.sqrt(np.bincount(doc, x * x, len(column))).astype(np.float32)
             x /= np.maximum(norm[doc], 1e-9)
-            y = _added(basis32[word] * x[:, None], doc, len(column))
+            y = _added(basis32, word, doc, len(column), x)
             order = np.argsort(word, kind="stable")
-            word = word[order]
-            if len(word):
-                start = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-                total[word[start]] += np.add.reduceat(y[doc[order]] * x[order, None], start)
+            held, at = np.unique(word[order], return_inverse=True)
+            total[held] += _added(y, doc[order], at, len(held), x[order])
 
         idf32, basis32 = idf.astype(np.float32), basis.astype(np.float32)
         return _summed(docs, (terms, rank), add)
@@ -212,6 +210,8 @@ class Model:
         #: Each term's share in the likeness of a sentence to each language: likenesses add up, so no embedding is needed.
         self.tells = ((self.vectors * self.idf[:, None]) @ self.language.T).astype(np.float32)
         self.weight = (self.spread * self.idf[:, None]).astype(np.float32)
+        #: Every term's vector times its weight, one language after the other.
+        self.weighted = (self.weight.T[:, :, None] * self.vectors).reshape(-1, self.vectors.shape[1])
 
     def read(self, word: np.ndarray, sent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of ``n`` sentences: language, cosine with each subject, and whether a term is heavy enough for it to treat one."""
@@ -219,18 +219,29 @@ class Model:
         spread = self.spread[word, lang[sent]]
         heavy = np.zeros(n, bool)
         heavy[sent[(spread > 0) & (spread >= self.floor[lang[sent]])]] = True
-        unit, near = _unit(_added(self.vectors[word] * self.weight[word, lang[sent]][:, None], sent, n)), np.zeros((n, len(self.subjects)), np.float32)
+        unit, near = _unit(_added(self.weighted, lang[sent] * len(self.vectors) + word, sent, n)), np.zeros((n, len(self.subjects)), np.float32)
         for x, c in enumerate(_unit(self.centroids).astype(np.float32)):
             near[lang == x] = unit[lang == x] @ c.T
         return lang, near, heavy
 
 
-def _added(rows: np.ndarray, sent: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows of each sentence; ``sent`` ascends."""
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    if len(rows):
-        start = np.flatnonzero(np.r_[True, sent[1:] != sent[:-1]])
-        out[sent[start]] = np.add.reduceat(rows, start)
+def _added(table: np.ndarray, index: np.ndarray, group: np.ndarray, n: int, scale: np.ndarray | None = None) -> np.ndarray:
+    """Of each of ``n`` groups the sum of its rows of ``table``, ``scale`` times each; ``group`` ascends. The first members of all
+    groups are added, then the second ones, and so on, so that no copy of all rows is made."""
+    out = np.zeros((n, table.shape[1]), np.float32)
+    if not len(index):
+        return out
+    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    size = np.diff(np.r_[start, len(group)])
+    order = np.argsort(-size, kind="stable")
+    start, which = start[order], group[start[order]]
+    left = np.searchsorted(-size[order], -np.arange(size.max()), "left")  # groups with more than k members
+    sums = np.zeros((len(start), table.shape[1]), np.float32)
+    for k, active in enumerate(left):
+        at = start[:active] + k
+        rows = table[index[at]]
+        sums[:active] += rows if scale is None else rows * scale[at, None]
+    out[which] = sums
     return out
 
 
