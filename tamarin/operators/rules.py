@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 import random
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -217,9 +217,10 @@ def apply_rules(df: DataFrame, key: str, text: str, rules: DataFrame, inverse: b
         raise ValueError(f"more than {MOST_RULES} rules")
 
     @F.pandas_udf("string")
-    def rewrite(keys: pd.Series, toks: pd.Series) -> pd.Series:
-        table = Rules(rows, inverse)
-        return pd.Series([table.rewrite(list(t), prob, random.Random(f"{seed}|{k}")) for k, t in zip(keys, toks)])
+    def rewrite(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        table = Rules(rows, inverse)  # once a task
+        for keys, toks in parts:
+            yield pd.Series([table.rewrite(list(t), prob, random.Random(f"{seed}|{k}")) for k, t in zip(keys, toks)], dtype=object)
 
     out = df.withColumn("_r", rewrite(F.col(key).cast("string"), tokenize(F.col(text))))
     return out.withColumn(into, normalize_surface(fix_spacing(F.col("_r")))).drop("_r")
