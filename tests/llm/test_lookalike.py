@@ -22,6 +22,22 @@ def test_other_look_other_form(spark):
     assert len(set(forms(spark, apart))) == len(apart)
 
 
+def test_shapes_are_the_public_table(spark):
+    shape = m.shapes(spark)
+    # letters that a hand-made list would lack
+    for other, latin in zip("ӏɑꓡᎪᏴⅭᴦաԜՍ", "laLABCrwWU"):
+        assert shape.get(m.shown(other), m.shown(other)) == latin, other
+    assert 250 < len(shape) < 600 and all(len(v) == 1 and v.isascii() for v in shape.values())
+    assert set(forms(spark, ["lari", "ӏari", "lаri", "ꮮari"])[:3]) == {"lari"}
+    assert len(set(forms(spark, ["tan-tan", "tan‐tan", "tan‑tan"]))) == 1 and len(set(forms(spark, ["tan-tan", "tan–tan"]))) == 2
+
+
+def test_classes_need_no_pairs(spark):
+    rows = [(f"{i:03d}", "lari" if i % 3 else "lаri", None, 0) for i in range(30)] + [("x", "kaz", None, 0), ("y", "kaz", None, 0)]
+    out = m.look_alike_classes(spark.createDataFrame(rows, SCHEMA), "segment_id", ["whisper_ht", "corrected"]).collect()
+    assert len(out) == 30 and {(r["spellings"], r["members"]) for r in out} == {(2, 30)} and len({r["class"] for r in out}) == 1
+
+
 def test_script_follows_the_ngrams(spark):
     out = forms(spark, ["жизнь", "привет", "привет", "a ka manjé diri la", "а ka manjé diri la"])
     assert out[1] == out[2] == "привет" and out[3] == out[4] == "a ka manjé diri la"
