@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -115,16 +116,29 @@ def _counts(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
 
-def coded(documents: DataFrame, key: str, text: str, terms: list[str]) -> DataFrame:
-    """``key, s ARRAY<ARRAY<INT>>``: the distinct terms of every sentence, as positions in ``terms``."""
+def _kind(terms: int) -> np.dtype:
+    """The smallest numbers that hold all terms and the mark after a sentence, which is the largest of them."""
+    return np.dtype(np.uint16 if terms < 0xFFFF else np.uint32)
+
+
+def coded(documents: DataFrame, key: str, text: str, words: list[str]) -> DataFrame:
+    """``key, s BINARY, n_sentences INT``: the distinct terms of every sentence, each sentence ended by a mark."""
+    kind = _kind(len(words) + HASHED)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = Terms(terms)
+        at, mark = Terms(words), int(np.iinfo(kind).max)
         for batch in batches:
-            out = [[at.of(s) for s in sentences(t)] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.list_(pa.int32())))], ["key", "s"])
+            out, sizes = [], []
+            for t in batch.column(1).to_pylist():
+                flat, parts = array(kind.char), sentences(t)
+                for s in parts:
+                    flat.extend(at.of(s))
+                    flat.append(mark)
+                out.append(flat.tobytes())
+                sizes.append(len(parts))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), pa.array(sizes, pa.int32())], ["key", "s", "n_sentences"])
 
-    return durable(documents.select(F.col(key).alias("key"), text).mapInArrow(run, f"key {dict(documents.dtypes)[key]}, s array<array<int>>"), "coded")
+    return durable(documents.select(F.col(key).alias("key"), text).mapInArrow(run, f"key {dict(documents.dtypes)[key]}, s binary, n_sentences int"), "coded")
 
 
 def _summed(docs: DataFrame, shape: tuple[int, ...], add: Callable[[np.ndarray, list], None]) -> np.ndarray:
@@ -151,31 +165,35 @@ def _summed(docs: DataFrame, shape: tuple[int, ...], add: Callable[[np.ndarray,
     return np.concatenate([np.frombuffer(r["data"], float) for r in sorted(rows)] or [np.zeros(size)])[:size].reshape(shape)
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _flat(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Terms of a batch, the sentence of each term, the document of each sentence."""
-    docs, sents = column.flatten(), None
-    of = np.repeat(np.arange(len(column)), np.diff(np.asarray(column.offsets)))
-    sents = np.repeat(np.arange(len(docs)), np.diff(np.asarray(docs.offsets)))
-    return np.asarray(docs.flatten()), sents, of
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, kind, (ends[-1] - ends[0]) // kind.itemsize, ends[0]) if data is not None and ends[-1] > ends[0] else np.zeros(0, kind)
+    mark = flat == np.iinfo(kind).max
+    places = np.flatnonzero(mark)
+    of = np.searchsorted((ends[1:] - ends[0]) // kind.itemsize, places, "right")
+    return flat[~mark].astype(np.int32), np.repeat(np.arange(len(places)), np.diff(places, prepend=-1) - 1), of
 
 
 def term_vectors(docs: DataFrame, idf: np.ndarray) -> np.ndarray:
     """Each term's unit vector among the RANK leading singular directions of the documents' tf-idf matrix."""
-    terms, rank = len(idf), min(RANK, len(idf))
+    terms, rank, kind = len(idf), min(RANK, len(idf)), _kind(len(idf))
 
     def product(basis: np.ndarray) -> np.ndarray:
         def add(total: np.ndarray, column: pa.Array) -> None:
-            word, sent, of = _flat(column)
+            word, sent, of = _flat(column, kind)
             # term frequencies: the sentences of a document that hold a term
-            cell, times = np.unique(of[sent] * terms + word, return_counts=True)
+            cell, times = np.unique((of[sent] * terms + word).astype(np.int32 if len(column) * terms < 1 << 31 else np.int64), return_counts=True)
             doc, word = cell // terms, cell % terms
             x = np.log1p(times).astype(np.float32) * idf32[word]
             norm = np.sqrt(np.bincount(doc, x * x, len(column))).astype(np.float32)
             x /= np.maximum(norm[doc], 1e-9)
             y = _added(basis32, word, doc, len(column), x)
-            order = np.argsort(word, kind="stable")
-            held, at = np.unique(word[order], return_inverse=True)
-            total[held] += _added(y, doc[order], at, len(held), x[order])
+            order = np.argsort(word.astype(kind), kind="stable")
+            word = word[order]
+            new = np.r_[True, word[1:] != word[:-1]] if len(word) else np.zeros(0, bool)
+            total[word[new]] += _added(y, doc[order], np.cumsum(new) - 1, int(new.sum()), x[order])
 
         idf32, basis32 = idf.astype(np.float32), basis.astype(np.float32)
         return _summed(docs, (terms, rank), add)
@@ -288,7 +306,7 @@ def fit(documents: DataFrame, key: str, text: str, examples: list[tuple[str, str
         rows = shape[1] * shape[2]
 
         def add(sums: np.ndarray, column: pa.Array, model: Model = model) -> None:
-            word, sent, of = _flat(column)
+            word, sent, of = _flat(column, _kind(shape[0]))
             lang, near, heavy = model.read(word, sent, len(of))
             two = np.sort(near, 1)[:, -2:]
             ok = heavy & (two[:, -1] > NEAR) & (two[:, -1] - (two[:, 0] if two.shape[1] > 1 else 0) > CLEAR)
@@ -320,7 +338,7 @@ def assign(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(a, CHUNK) for b in batches for a in range(0, b.num_rows, CHUNK)):
-            word, sent, of = _flat(batch.column(1))
+            word, sent, of = _flat(batch.column(1), _kind(len(model.vectors)))
             n, k = batch.num_rows, len(model.subjects)
             _, near, heavy = model.read(word, sent, len(of)) if len(of) else (0, np.zeros((0, k)), np.zeros(0, bool))
             top = near.max(1, initial=-1.0)
@@ -352,6 +370,6 @@ def document_subjects(documents: DataFrame, key: str, text: str, examples: DataF
         model, docs = fit(documents, key, text, given)
         out = assign(docs, model)
     else:
-        out = coded(documents, key, text, []).select("key", F.size("s").alias("n_sentences"), F.create_map().cast("map<string,double>").alias("shares"))
+        out = coded(documents, key, text, []).select("key", "n_sentences", F.create_map().cast("map<string,double>").alias("shares"))
     treated = F.array_sort(F.map_keys(F.map_filter("shares", lambda _, v: v >= SHARE)))
     return out.select(F.col("key").alias(key), "n_sentences", "shares", treated.alias("subjects"))
