@@ -169,7 +169,20 @@ t as (select id, w, len(w) as n, list_transform(range(1, len(w) - 1), lambda i:
 s as (select id, w, n, list_transform(range(1, len(t) + 1), lambda i: list_position(t, t[i]) < i) as again from t),
 r as (select id, n, len(list_filter(range(1, n + 1), lambda i: coalesce(again[i], false) or (i > 1 and coalesce(again[i - 1], false)) or (i > 2 and coalesce(again[i - 2], false)) or (i > 1 and w[i] = w[i - 1]))) as repeats from s)"""
 
+#: Edit distance of two lists.
+_EDITS = (
+    "list_reduce(range(1, len(a) + 1), lambda prev, i: list_reduce(range(1, len(b) + 1), "
+    "lambda acc, j: list_append(acc, least(prev[j + 1] + 1, acc[-1] + 1, prev[j] + if(a[i] = b[j], 0, 1))), [i]), range(0, len(b) + 1))[-1]"
+)
+_SPLIT_WORDS = "list_distinct(w) as d, w from (select pair_id, " + _WORDS.replace("whisper_ht", "target_gcf") + " as w from @) where len(w) > 0"
+#: All pairs of records, those left out first that differ in length or in words by more than the budget.
+_OVERLAPS = f"""with e as (select pair_id, {_SPLIT_WORDS.replace("@", "(select * from val_pairs union all select * from test_pairs)")}), t as (select pair_id, {_SPLIT_WORDS.replace("@", "train_pairs")}),
+n as (select e.pair_id as x, t.pair_id as y, e.w as a, t.w as b, greatest(len(e.w), len(t.w)) // 5 as most from e join t on abs(len(e.w) - len(t.w)) <= greatest(len(e.w), len(t.w)) // 5
+ and len(e.d) - len(list_intersect(e.d, t.d)) <= greatest(len(e.w), len(t.w)) // 5),
+f as (select distinct x, y from n where {_EDITS} <= most)"""
+
 ORACLES: dict[str, str] = {
+    "p3_found": _OVERLAPS + " select least(x, y) as pair_a, greatest(x, y) as pair_b from f",
     "p2_ranking": _rank_sql(),
     "p4_sample": f"select c, {_BITS} / 4503599627370496.0 as priority from (select distinct c from segment_index where c is not null) where {_BITS} < floor(0.1 * 4503599627370496)",
     "p4_growth": f"""with k as (select c, {_BITS} as b from (select distinct c from segment_index where c is not null)), r as (select *, row_number() over (order by b, c) as n from k where contains(c, '/lot-b/')),
