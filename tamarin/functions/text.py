@@ -210,6 +210,12 @@ def percent(c: Column) -> Column:
     return F.format_string("%.1f %%", c * 100)
 
 
+def duration_label(seconds: Column) -> Column:
+    """``2h05m`` from an hour on, else ``5m09s``; whole seconds."""
+    s = F.floor(seconds).cast("long")
+    return F.when(s >= 3600, F.format_string("%dh%02dm", F.floor(s / 3600), F.floor(s / 60) % 60)).otherwise(F.format_string("%dm%02ds", F.floor(s / 60), s % 60))
+
+
 #: Accented letters of the suggestion engine and their plain forms.
 FOLD_FROM, FOLD_TO = "àáâãäåèéêëìíîïòóôõöùúûüýÿçñœ", "aaaaaaeeeeiiiiooooouuuuyycno"
 

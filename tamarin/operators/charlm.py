@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamarin.functions.text import normalize_surface
@@ -26,6 +26,16 @@ def fit(df: DataFrame, text: str, order: int = 5) -> DataFrame:
     return reduce(DataFrame.unionByName, grams).groupBy("n", "gram").agg(F.count("*").alias("cnt"))
 
 
+def load(spark: SparkSession, *paths: str) -> tuple[DataFrame, str]:
+    """The model of the first path that exists, and that path; FileNotFoundError where there is none. Paths stand in the order of
+    preference, such as a larger model's before a smaller one's."""
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return spark.read.schema("n int, gram string, cnt long").parquet(path), path
+    raise FileNotFoundError(f"no model at {', '.join(paths)}")
+
+
 def vocabulary_size(model: DataFrame) -> DataFrame:
     return model.where("n = 1").agg(F.count("*").alias("vocabulary"), F.sum("cnt").alias("characters"))
 

@@ -250,3 +250,57 @@ def fuzzy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of an asked word and a dictionary word within two edits, by distance: none is cut by a rank."""
     df = suggest.fuzzy_matches(_inputs(spark, sf_dir), _dictionary(spark, sf_dir, "train_pairs", "target_gcf"), most=2_000_000_000)
     return df.groupBy(F.col("distance").cast("long").alias("distance")).agg(F.count("*").alias("pairs"))
+
+
+# ---- alignment -----------------------------------------------------------------------------------------------------------------
+
+#: Longest matching blocks, the earliest of the longest first, then left and right of each; what lies between them differs.
+_BLOCKS = f"""with recursive p as (select row_number() over () as id, src, tgt, {_tokens('src')} as s, {_tokens('tgt')} as t from (select distinct src, tgt from {_SIDES} where src <> '' and tgt <> '')),
+m as (select id, i, j from (select id, list_transform(s, lambda x: lower(x)) as a, list_transform(t, lambda x: lower(x)) as b from p), unnest(range(1, len(a) + 1)) as u(i), unnest(range(1, len(b) + 1)) as v(j) where a[i] = b[j]),
+g as (select *, i - row_number() over (partition by id, i - j order by i) as island from m),
+f as (select id, i, j, max(i) over (partition by id, i - j, island) - i + 1 as ahead from g),
+block as (
+ select id, alo, ahi, blo, bhi, x.i as i, x.j as j, x.k as k from (select id, 1::bigint as alo, (len(s) + 1)::bigint as ahi, 1::bigint as blo, (len(t) + 1)::bigint as bhi, arg_max(struct_pack(i := i, j := j, k := ahead), ahead * 1000000000000 - i * 1000000 - j) as x from p join f using (id) group by id, s, t)
+ union all
+ select id, lo, hi, lo2, hi2, x.i, x.j, x.k from (
+  select c.id, lo, hi, lo2, hi2, arg_max(struct_pack(i := f.i, j := f.j, k := least(ahead, hi - f.i, hi2 - f.j)), least(ahead, hi - f.i, hi2 - f.j) * 1000000000000 - f.i * 1000000 - f.j) as x
+  from (select id, alo as lo, i as hi, blo as lo2, j as hi2 from block where alo < i and blo < j union all select id, i + k, ahi, j + k, bhi from block where i + k < ahi and j + k < bhi) c
+  join f on f.id = c.id and f.i >= lo and f.i < hi and f.j >= lo2 and f.j < hi2 group by all)),
+e as (select id, i, j, k from block union all select id, len(s) + 1, len(t) + 1, 0 from p),
+d as (select id, coalesce(lag(i + k) over w, 1) as a0, i as a1, coalesce(lag(j + k) over w, 1) as b0, j as b1 from e window w as (partition by id order by i, j)),
+o as (select src, tgt, case when a0 < a1 and b0 < b1 then 'replace' when a0 < a1 then 'delete' else 'insert' end as op, (a0 - 1)::int as first, array_to_string(s[a0:a1 - 1], ' ') as before, array_to_string(t[b0:b1 - 1], ' ') as after, (a1 - a0)::int as words, (b1 - b0)::int as others
+ from d join p using (id) where a0 < a1 or b0 < b1)"""
+
+
+def _differing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tamarin.queries import _pairs
+
+    df = _pairs(spark, sf_dir).select("src", "tgt").distinct()
+    blocks = df.select("src", "tgt", F.explode(rules.align_words(tx.tokenize(F.col("src")), tx.tokenize(F.col("tgt")))).alias("x")).where("x.op <> 'equal'")
+    return blocks.select("src", "tgt", "x.op", F.col("x.start").alias("first"), F.array_join("x.src", " ").alias("before"), F.array_join("x.tgt", " ").alias("after"), F.size("x.src").alias("words"), F.size("x.tgt").alias("others"))
+
+
+@_query(_BLOCKS + " select * from o")
+def aligned_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the corrected sheet's sides differ, by longest matching blocks."""
+    return _differing(spark, sf_dir)
+
+
+@_query(_BLOCKS + " select lower(before) as before, lower(after) as after, count(*) as n from o where words between 1 and 3 and others <= 3 group by 1, 2 having count(*) >= 2")
+def block_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each short block stands for another: what the supports of mined rules begin from."""
+    df = _differing(spark, sf_dir).where("words between 1 and 3 and others <= 3")
+    return df.groupBy(F.lower("before").alias("before"), F.lower("after").alias("after")).agg(F.count("*").alias("n")).where("n >= 2")
+
+
+@_query(
+    f"""with s as (select list_transform({_tokens('src')}, lambda x: lower(x)) as w from (select distinct src, tgt from {_SIDES} where src <> '' and tgt <> '')),
+g as (select unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) as gram from s, (values (1), (2), (3)) as v(n) where len(w) >= n)
+select gram, count(*) as total from g group by 1"""
+)
+def rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source n-gram stands in the corrected sheet: the denominators of mined rules."""
+    from tamarin.queries import _pairs
+
+    df = _pairs(spark, sf_dir).select("src", "tgt").distinct().select(F.explode(tx.word_ngrams(tx.tokenize(F.col("src")), 3)).alias("gram"))
+    return df.groupBy("gram").agg(F.count("*").alias("total"))

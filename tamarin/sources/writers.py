@@ -34,8 +34,8 @@ def json_object(df: DataFrame, path: str) -> None:
     write_text_file(df.sparkSession, path, rows[0]["j"])
 
 
-#: Quotes doubled, blanks at the ends kept, empty values told from missing ones.
-_SHEET = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: Quotes doubled, blanks at the ends kept; an empty value is an empty field, as a missing one is.
+_SHEET = {"header": True, "quote": '"', "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def sorted_json_lines(df: DataFrame, path: str, *keys: str, mode: str = "errorifexists") -> None:
