@@ -16,7 +16,6 @@ the cluster runs at once, so what is shuffled does not grow with the corpus. Pro
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from array import array
 from collections import Counter
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarin.llm.words import plain_parts, plain_words
+from tamarin.llm.words import plain_sentences, plain_words
 from tamarin.plans.durable import durable
 
 #: Words of most documents that are terms of their own, beside those of the examples, and terms that all other words share.
@@ -52,12 +51,9 @@ CHUNK = 200
 #: Blocks a summed matrix travels in.
 BLOCKS = 64
 
-SENTENCE = re.compile(r"(?<=[.!?…])\s+|\n+|</p>|(?<=[.!?…])(?=[\[<])")
-
-
 def sentences(text: str | None) -> list[list[bytes]]:
     """The plain words of each sentence that has any; tags and time marks are no words."""
-    return plain_parts(text, SENTENCE)
+    return plain_sentences(text)
 
 
 class Terms(dict):
@@ -75,7 +71,7 @@ class Terms(dict):
 
     def of(self, words: list[bytes]) -> list[int]:
         """The distinct terms of a sentence."""
-        return sorted(set(map(self.__getitem__, words)))
+        return list(set(map(self.__getitem__, words)))
 
 
 def vocabulary(documents: DataFrame, text: str, always: set[str]) -> tuple[list[str], np.ndarray, int]:

@@ -83,11 +83,16 @@ def plain_words(text: str | None, markup: bool = False) -> list[bytes]:
     return [w.encode() for w in WORD.findall(_folded(text))] if raw is None else raw.split()
 
 
-def plain_parts(text: str | None, boundary: re.Pattern) -> list[list[bytes]]:
-    """``plain_words`` with ``markup`` of each part of ``text`` between matches of ``boundary``; parts without words go."""
+#: A mark that ends a sentence, before a space or something in brackets.
+END = re.compile(r"[.!?…](?=[\s\[<])")
+
+
+def plain_sentences(text: str | None) -> list[list[bytes]]:
+    """``plain_words`` with ``markup`` of each sentence of ``text``; lines and paragraphs end sentences too. Those without words go."""
     if not text:
         return []
-    text = _without_markup(boundary.sub(BREAK, text.replace(BREAK, " ")))
+    text = text.replace(BREAK, " ").replace("\n", BREAK).replace("</p>", BREAK)
+    text = _without_markup(END.sub(BREAK, text))
     raw = _plain_bytes(text, _PLAIN_PARTS)
     if raw is None:
         parts = ([w.encode() for w in WORD.findall(t)] for t in _folded(text).split(BREAK))
