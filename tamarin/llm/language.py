@@ -124,35 +124,33 @@ class Language:
         self.pieces = Automaton(" " + " ".join(dict.fromkeys(words)) + " ")
         self.size = math.log2(2 + sum(map(len, words)))
         self.weight = 1.0
-        self.seen: dict[str, float] = {}
 
-    def unknown(self, word: str) -> float:
-        """Phrases that a word never seen counts as: the more, the more pieces it takes."""
-        if len(self.seen) >= CACHE:
-            self.seen.clear()
+    def unknown(self, word: str) -> float | None:
+        """Phrases that a word never seen counts as: the more, the more pieces it takes; None for a word that is known."""
+        if word in self.start:
+            return None
         w, i, c = f" {word} ", 0, 0
         while i < len(w):
             i += max(1, self.pieces.longest(w, i))
             c += 1
-        self.seen[word] = cost = (UNKNOWN + PIECE * c) * self.weight
-        return cost
+        return (UNKNOWN + PIECE * c) * self.weight
 
-    def phrases(self, words: list[str]) -> list[float]:
-        """Each word's share of the phrases."""
-        start, weight, seen, out = self.start, self.weight, self.seen, []
+    def phrases(self, words: list[str], unknown: list[float | None]) -> list[float]:
+        """Each word's share of the phrases; ``unknown`` holds what each word counts as that is not known."""
+        start, weight, out = self.start, self.weight, []
         state, k = start, 0
-        for w in words:
-            if w in state:
-                state, k = state[w], k + 1
-                continue
-            if k:
-                out += [weight / k] * k
-                k = 0
-                if w in start:
-                    state, k = start[w], 1
+        for w, cost in zip(words, unknown):
+            if cost is None:
+                if w in state:
+                    state, k = state[w], k + 1
                     continue
-                state = start
-            out.append(seen[w] if w in seen else self.unknown(w))
+                out += [weight / k] * k
+                state, k = start[w], 1
+            else:
+                if k:
+                    out += [weight / k] * k
+                    state, k = start, 0
+                out.append(cost)
         if k:
             out += [weight / k] * k
         return out
@@ -169,17 +167,31 @@ class Parser:
         most = max((x.size for x in self.accented), default=1.0)
         for a, b in zip(self.accented, self.plain):
             a.weight = b.weight = a.size / most
+        self.seen: tuple[dict, dict] = ({}, {})
+
+    def unknown(self, words: list[str], plain: bool) -> list[tuple]:
+        """For each word what it counts as in each language that does not know it. Kept for a bounded number of words."""
+        seen = self.seen[plain]
+        out = list(map(seen.get, words))
+        if None in out:
+            if len(seen) > CACHE:
+                seen.clear()
+            use = self.plain if plain else self.accented
+            for i, known in enumerate(out):
+                if known is None:
+                    seen[words[i]] = out[i] = tuple(x.unknown(words[i]) for x in use)
+        return out
 
     def costs(self, words: list[str], names: set[str] = frozenset()) -> list[list[float]]:
         """Phrases per language and word. Names, the words with a capital that no language knows, count nothing."""
-        use = self.plain if sum(map(str.isascii, words)) * RARE >= len(words) * (RARE - 1) else self.accented
-        out = [x.phrases(words) for x in use]
+        plain = sum(map(str.isascii, words)) * RARE >= len(words) * (RARE - 1)
+        unknown = self.unknown(words, plain)
+        out = [x.phrases(words, u) for x, u in zip(self.plain if plain else self.accented, zip(*unknown))]
         for name in names:
-            if not any(name in x.start for x in use):
-                for i, w in enumerate(words):
-                    if w == name:
-                        for own in out:
-                            own[i] = 0.0
+            for i, w in enumerate(words):
+                if w == name and None not in unknown[i]:
+                    for own in out:
+                        own[i] = 0.0
         return out
 
     def stretches(self, text: str | None, switch: float = SWITCH) -> list[tuple[str, int, int, float]]:

@@ -35,8 +35,8 @@ def test_phrases_are_the_greedy_parse():
             k = max(k for k in range(1, len(q) - i + 1) if tuple(q[i : i + k]) in held)
             want += [1 / k] * k
             i += k
-        assert x.phrases(q) == pytest.approx(want)
-    assert x.phrases(["zz"])[0] > m.UNKNOWN
+        assert x.phrases(q, [x.unknown(w) for w in q]) == pytest.approx(want)
+    assert x.phrases(["zz"], [x.unknown("zz")])[0] > m.UNKNOWN and x.unknown("a") is None
 
 
 def test_six_words_at_the_start_in_the_middle_and_at_the_end():
