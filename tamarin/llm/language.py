@@ -20,6 +20,7 @@ import unicodedata
 import uuid
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain
+from operator import le
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -45,34 +46,32 @@ RARE = 12
 #: Words whose costs a worker keeps.
 CACHE = 300_000
 
-_KEEP = re.compile(r"[^\w']+|_")
+_WORD = re.compile(r"[^\W_]+'?")
 
 
 def _accents_off(text: str) -> str:
     return "".join(ch for ch in unicodedata.normalize("NFD", text) if unicodedata.category(ch) != "Mn")
 
 
-def tokens(text: str | None) -> list[str]:
-    """The words of ``text`` as they are parsed: lower case, composed accents, apostrophes kept at the end of elided words."""
-    if not text:
-        return []
-    t = text.lower()
+def _words(text: str) -> list[str]:
+    t = text.replace("’", "'")
     if not t.isascii():
-        t = unicodedata.normalize("NFC", t.replace("’", "'"))
+        t = unicodedata.normalize("NFC", t)
         if nothing := [ch for ch in set(t) if IGNORABLE[ch]]:
             t = t.translate(dict.fromkeys(map(ord, nothing)))
-    t = _KEEP.sub(" ", t)
-    return [w for w in t.replace("'", "' ").split() if w != "'"] if "'" in t else t.split()
+    return _WORD.findall(t)
 
 
-_CAPITAL = re.compile(r"[^\W\d_]{2,}")
+def tokens(text: str | None) -> list[str]:
+    """The words of ``text`` as they are parsed: lower case, composed accents, apostrophes kept at the end of elided words."""
+    return list(map(str.lower, _words(text))) if text else []
 
 
-def capitals(text: str) -> set[str]:
-    """The words of a text that start with a capital, lower-cased; none where all letters are capitals."""
-    if text.islower() or text.isupper():
-        return set()
-    return {w.lower() for w in _CAPITAL.findall(unicodedata.normalize("NFC", text)) if w[0].isupper()}
+def capitals(words: list[str]) -> set[str]:
+    """Of words in their own case those of two letters or more that start with a capital, lower-cased; none where all words are in
+    capitals."""
+    found = {w.lower() for w in words if w[0].isupper() and len(w) > 1 and w[1] != "'"}
+    return set() if found and all(w.isupper() or not w[0].isalpha() for w in words) else found
 
 
 class Automaton:
@@ -135,24 +134,24 @@ class Language:
             c += 1
         return (UNKNOWN + PIECE * c) * self.weight
 
-    def phrases(self, words: list[str], unknown: list[float | None]) -> list[float]:
+    def phrases(self, words: list[str], unknown: tuple[float | None, ...]) -> list[float]:
         """Each word's share of the phrases; ``unknown`` holds what each word counts as that is not known."""
-        start, weight, out = self.start, self.weight, []
-        state, k = start, 0
-        for w, cost in zip(words, unknown):
-            if cost is None:
-                if w in state:
-                    state, k = state[w], k + 1
-                    continue
-                out += [weight / k] * k
-                state, k = start[w], 1
+        if None not in unknown:
+            return list(unknown)
+        start, weight, out, i, n = self.start, self.weight, list(unknown), 0, len(words)
+        while i < n:
+            if out[i] is not None:
+                if None not in unknown[i:]:
+                    break
+                i = unknown.index(None, i)
+            state, k = start[words[i]], i + 1
+            while k < n and words[k] in state:
+                state, k = state[words[k]], k + 1
+            if k - i == 1:
+                out[i] = weight
             else:
-                if k:
-                    out += [weight / k] * k
-                    state, k = start, 0
-                out.append(cost)
-        if k:
-            out += [weight / k] * k
+                out[i:k] = [weight / (k - i)] * (k - i)
+            i = k
         return out
 
 
@@ -197,8 +196,8 @@ class Parser:
     def stretches(self, text: str | None, switch: float = SWITCH) -> list[tuple[str, int, int, float]]:
         """(language, first word, words, confidence) of each stretch. The confidence is the share of the phrases of the second-best
         language that the best saves, from 0 to 1."""
-        words = tokens(text)
-        return self._stretches(words, capitals(text), switch) if words else []
+        words = _words(text) if text else []
+        return self._stretches(list(map(str.lower, words)), capitals(words), switch) if words else []
 
     def _stretches(self, words: list[str], names: set[str], switch: float) -> list[tuple[str, int, int, float]]:
         cost = self.costs(words, names)
@@ -208,7 +207,12 @@ class Parser:
         if k == 1 or sums[x] <= sum(map(min, *cost)) + switch:  # no change of language can save what it costs
             rest = min(sums[:x] + sums[x + 1 :], default=0.0)
             return [(self.languages[x], 0, n, max(0.0, 1 - sums[x] / rest) if rest > 0 else 0.0)]
-        path = _path(cost, k, n, switch)
+        # a language that another one beats at every word is on no cheapest path
+        live = list(range(k))
+        for y in range(k):
+            if any(z != y and all(map(le, cost[z], cost[y])) for z in live):
+                live.remove(y)
+        path = [live[y] for y in _path([cost[y] for y in live], len(live), n, switch)]
         out, a = [], 0
         for b in range(1, n + 1):
             if b == n or path[b] != path[a]:
