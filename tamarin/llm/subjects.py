@@ -227,6 +227,10 @@ class Model:
         #: Every term's vector times its weight, one language after the other.
         self.weighted = (self.weight.T[:, :, None] * self.vectors).reshape(-1, self.vectors.shape[1])
 
+    def __reduce__(self):
+        """Only the fields are sent to the tasks; what follows from them is made there."""
+        return Model, (self.subjects, self.vectors, self.idf.astype(np.float32), self.language, self.spread.astype(np.float32), self.centroids, self.floor)
+
     def read(self, word: np.ndarray, sent: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of ``n`` sentences: language, cosine with each subject, and whether a term is heavy enough for it to treat one."""
         lang = np.stack([np.bincount(sent, self.tells[word, x], n) for x in range(self.tells.shape[1])], 1).argmax(1)
