@@ -25,6 +25,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.look_alike_pairs(_table(spark, sf_dir, "diagnostic_to_correct"), "segment_id", ["whisper_ht", "corrected"])
 
 
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value that looks like a differently spelled one, with its class; no pairs."""
+    return lookalike.look_alike_classes(_table(spark, sf_dir, "diagnostic_to_correct"), "segment_id", ["whisper_ht", "corrected"])
+
+
 SCORES = {"avg_logprob": True, "compression_ratio": False, "perplexite_lm": False, "no_speech_prob": False}
 
 
@@ -125,6 +130,7 @@ def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_canonical": p1_canonical,
+    "p1_classes": p1_classes,
     "p2_ranking": p2_ranking,
     "p3_found": p3_found,
     "p3_report": p3_report,
