@@ -799,7 +799,37 @@ def suggest_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("input", "word", "freq", F.col("distance").cast("long").alias("distance"), "rank")
 
 
-@_query()
+def _dictionary_score(word: str, text: str, freq: str, distance: str) -> str:
+    fold = lambda x: f"replace(translate(lower({x}), {_lit(tx.FOLD_FROM)}, {_lit(tx.FOLD_TO)}), 'ß', 'ss')"
+    return (
+        f"({freq} + case when {distance} > 0 then (3 - {distance}) * 100000 else 0 end + case when starts_with({fold(word)}, {fold(text)}) then 50 else 0 end + case when length({word}) <= 6 then 10 else 0 end"
+        f" - case when length({word}) > 12 then 10 else 0 end + case when regexp_matches(lower({word}), '[{tx.FOLD_FROM}]') then 5 else 0 end)"
+    )
+
+
+def _casing(model: str, word: str) -> str:
+    letters = f"regexp_replace({model}, '[^\\p{{L}}]', '', 'g')"
+    each = f"array_to_string(list_transform(range(1, length({word}) + 1), lambda i: case when i <= length({model}) and {model}[i] = upper({model}[i]) and {model}[i] <> lower({model}[i]) then upper({word}[i]) else {word}[i] end), '')"
+    return f"case when length({letters}) >= 2 and {letters} = upper({letters}) then upper({word}) when regexp_matches({model}[1], '^\\p{{Lu}}') and {model}[2:] = lower({model}[2:]) then upper({word}[1]) || lower({word}[2:]) else {each} end"
+
+
+#: Prefix matches, else near ones (letters without accents are never farther apart than with them), the likely next words' bonus,
+#: three of these and two of the second dictionary, no word twice.
+_MERGED = f""", pre as (select input, word, freq, 0 as distance from (select input, word, freq, row_number() over (partition by input order by freq desc, word) as rank from q join d on starts_with(folded, a) where length(input) >= 2) where rank <= 10),
+close as (select input, word, freq, distance from (select *, row_number() over (partition by input order by distance, freq desc, word) as rank from (select input, word, freq, levenshtein(a, folded) as distance from q join d on abs(length(folded) - length(a)) <= 2 where length(input) >= 3 and input not in (select input from pre)) where distance <= 2) where rank <= 5),
+nw as (select next from ({ORACLES['next_words']}) where prev = 'ka'),
+sc as (select input, word, {_dictionary_score('word', 'input', 'freq', 'distance')} as score from (select * from pre union all select * from close) union all select input, next, 50 from q join nw on starts_with(lower(next), lower(input))),
+one as (select input, word, row_number() over (partition by input order by sum(score) * 1.5 desc, word) as rank from sc group by 1, 2),
+d2 as (select lower(w) as word, count(*) as freq from (select unnest({_tokens(_norm('text'))}) as w from heldout_items) where regexp_matches(w, '^\\p{{L}}{{2,}}$') group by 1),
+s2 as (select input, word, freq from (select input, word, freq, row_number() over (partition by input order by freq desc, word) as rank from q join d2 on starts_with(word, a) where length(input) >= 3) where rank <= 2),
+two as (select input, word, row_number() over (partition by input order by {_dictionary_score('word', 'input', 'freq', '0')} * 0.8 desc, word) as rank from s2),
+both_ as (select input, word, 0 as side, rank from one where rank <= 3 union all select input, word, 1, rank from two where rank <= 2),
+x as (select input, arg_min(word, side * 10 + rank) as word, min(side * 10 + rank) as o from both_ group by input, lower(word)),
+y as (select input, word, row_number() over (partition by input order by o) as slot from x)
+select input, slot::int as slot, {_casing('input', 'word')} as word from y where slot <= 5"""
+
+
+@_query(_DICT + ", " + _ASKED + _MERGED)
 def suggest_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Creole first, then French, in the input's case."""
     words = _dictionary(spark, sf_dir, "train_pairs", "target_gcf")
