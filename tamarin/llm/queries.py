@@ -8,26 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarin.llm import language, leakage, ledger, lookalike, packing, ranking, repetition, spanish, splits, subjects
-from tamarin.plans.durable import scratch
+from tamarin.plans.durable import scratch, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table for work on texts that is worth all cores: a small table is dealt out to them."""
+    return spread(_table(spark, sf_dir, name).select(*columns))
+
+
 def p1_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both fields of every row in their consistent form."""
-    df = _table(spark, sf_dir, "diagnostic_to_correct").select("segment_id", "whisper_ht", "corrected")
+    df = _texts(spark, sf_dir, "diagnostic_to_correct", "segment_id", "whisper_ht", "corrected")
     return lookalike.canonical_forms(df, ["whisper_ht", "corrected"])
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookalike.look_alike_pairs(_table(spark, sf_dir, "diagnostic_to_correct"), "segment_id", ["whisper_ht", "corrected"])
+    return lookalike.look_alike_pairs(_texts(spark, sf_dir, "diagnostic_to_correct", "segment_id", "whisper_ht", "corrected"), "segment_id", ["whisper_ht", "corrected"])
 
 
 def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every value that looks like a differently spelled one, with its class; no pairs."""
-    return lookalike.look_alike_classes(_table(spark, sf_dir, "diagnostic_to_correct"), "segment_id", ["whisper_ht", "corrected"])
+    return lookalike.look_alike_classes(_texts(spark, sf_dir, "diagnostic_to_correct", "segment_id", "whisper_ht", "corrected"), "segment_id", ["whisper_ht", "corrected"])
 
 
 SCORES = {"avg_logprob": True, "compression_ratio": False, "perplexite_lm": False, "no_speech_prob": False}
@@ -95,26 +100,26 @@ def p5_stretches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The share of repeated content of every segment."""
-    df = repetition.repetition(_table(spark, sf_dir, "dataset_corrected"), "id", "whisper_ht")
+    df = repetition.repetition(_texts(spark, sf_dir, "dataset_corrected", "id", "whisper_ht"), "id", "whisper_ht")
     return df.select("id", "n_words", "repeats", F.round("repeat_share", 6).alias("repeat_share")).distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _table(spark, sf_dir, "dataset_corrected").select("id", "whisper_ht")
+    df = _texts(spark, sf_dir, "dataset_corrected", "id", "whisper_ht")
     return repetition.repetitive(df, "id", "whisper_ht", repetition.fit(df, "id", "whisper_ht"))
 
 
 def p7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their containers."""
-    return packing.pack(packing.token_counts(_table(spark, sf_dir, "documents"), "doc_id", "text"), "doc_id")
+    return packing.pack(packing.token_counts(_texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text"), "doc_id")
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaked_items(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "heldout_items"), "item_id", "text")
+    return leakage.leaked_items(_texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", _table(spark, sf_dir, "heldout_items"), "item_id", "text")
 
 
 def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subjects.document_subjects(_table(spark, sf_dir, "documents"), "doc_id", "text", _table(spark, sf_dir, "subject_examples"), "subject", "lang", "text")
+    return subjects.document_subjects(_texts(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", _table(spark, sf_dir, "subject_examples"), "subject", "lang", "text")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
