@@ -34,10 +34,10 @@ BUDGET = 5
 SKETCH = 1 << 16
 #: A run in one of RARE is common: it comes later in the order, by powers of two.
 RARE = 20_000
-#: A run's rows are dealt to one slice more for each such share of all runs that it has.
-SLICES = 1024
-#: Words of a record from which on only a part of them stands in its mask of 64 bits.
-MASK = 48
+#: A run's rows are dealt to one slice more for each such share of all runs that it has, from so many rows on.
+SLICES, HOT = 1024, 1000
+#: Words of a record from which on only a part of them stands in its mask of 128 bits.
+MASK = 96
 #: Words kept in a worker's cache.
 CACHE = 500_000
 
@@ -102,14 +102,16 @@ class Batch:
         at = np.where(inside, at, 0)
         return np.where(inside & (self.which[at] == owner), (self.ids[at] % np.uint64(255)).astype(np.int64) + 1, 0)
 
-    def masks(self) -> tuple[np.ndarray, np.ndarray]:
-        """Of each record a mask with a bit for each of its words, and the mask's level: from MASK words on only one word in two, from
-        2 * MASK words on one in four, and so on, sets a bit."""
+    def masks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each record a mask with a bit for each of its words, in two halves, and the mask's level: from MASK words on only one
+        word in two, from 2 * MASK words on one in four, and so on, sets a bit."""
         level = np.ceil(np.log2(np.maximum(1, (self.sizes + 1) / MASK))).astype(np.uint64)
-        word = self.ids >> np.uint64(6)
+        word = self.ids >> np.uint64(7)
         some = word & ((np.uint64(1) << level[self.which]) - np.uint64(1)) == 0
         bit = np.where(some, np.uint64(1) << (self.ids & np.uint64(63)), np.uint64(0))
-        return np.bitwise_or.reduceat(bit, self.first) if len(bit) else np.zeros(0, np.uint64), level.astype(np.int64)
+        high = self.ids & np.uint64(64) != 0
+        half = lambda x: np.bitwise_or.reduceat(np.where(x, bit, np.uint64(0)), self.first)
+        return half(~high), half(high), level.astype(np.int64)
 
 
 def winnow(h: np.ndarray, which: np.ndarray, long: np.ndarray, level: np.ndarray) -> np.ndarray:
@@ -129,7 +131,7 @@ def levels(counts: np.ndarray) -> np.ndarray:
 
 def slices(counts: np.ndarray) -> np.ndarray:
     """Of each cell, the slices that its runs' rows are dealt to."""
-    over = np.maximum(0, counts - 2 * counts.mean() - RARE)
+    over = np.maximum(0, counts - 2 * counts.mean() - HOT)
     return (1 + np.floor(over * (SLICES / max(1, counts.sum())))).astype(np.int64)
 
 
@@ -167,7 +169,7 @@ def _counts(classes: DataFrame) -> np.ndarray:
 
 
 def _fingerprints(classes: DataFrame, level: np.ndarray, parts: np.ndarray, every: bool) -> DataFrame:
-    """The fingerprints of each class: ``gram, id, n, pos, near, mask``. ``id`` begins the form, ``near`` holds the mask's level and a
+    """The fingerprints of each class: ``gram, id, n, pos, near, low, high``. ``id`` begins the form, ``near`` holds the mask's level and a
     byte of the word before and after the run. Common runs stand in one of their slices, or in each with ``every``. Records of four
     or five words, whose three-word runs one change may all destroy, also give runs of two."""
 
@@ -185,7 +187,7 @@ def _fingerprints(classes: DataFrame, level: np.ndarray, parts: np.ndarray, ever
             if len(few := np.flatnonzero((given.sizes[given.which[at2]] >= BUDGET - 1) & (given.sizes[given.which[at2]] <= BUDGET))):
                 h, at, width = np.r_[h, h2[few]], np.r_[at, at2[few]], np.r_[width, np.full(len(few), 2)]
             owner = given.which[at]
-            mask, grade = given.masks()
+            low, high, grade = given.masks()
             near = grade[owner] << 16 | given.beside(at - 1, owner) << 8 | given.beside(at + width, owner)
             many = parts[(h & np.uint64(SKETCH - 1)).astype(np.int64)]
             row = np.repeat(np.arange(len(h)), many) if every else np.arange(len(h))
@@ -194,10 +196,10 @@ def _fingerprints(classes: DataFrame, level: np.ndarray, parts: np.ndarray, ever
                 gram = h[row] + part.astype(np.uint64) * _B
             pos = (at - given.first[owner])[row]
             owner = owner[row]
-            columns = (gram.view(np.int64), form[owner], given.sizes[owner].astype(np.int32), pos.astype(np.int32), near[row].astype(np.int32), mask[owner].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "id", "n", "pos", "near", "mask"])
+            columns = (gram.view(np.int64), form[owner], given.sizes[owner].astype(np.int32), pos.astype(np.int32), near[row].astype(np.int32), low[owner].view(np.int64), high[owner].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "id", "n", "pos", "near", "low", "high"])
 
-    return classes.select("form", "words").mapInArrow(run, "gram long, id long, n int, pos int, near int, mask long")
+    return classes.select("form", "words").mapInArrow(run, "gram long, id long, n int, pos int, near int, low long, high long")
 
 
 def budget(n: Column, m: Column) -> Column:
@@ -281,7 +283,7 @@ def class_overlaps(classes: DataFrame) -> DataFrame:
     words, n, train BOOLEAN, eval BOOLEAN``, one row per word sequence."""
     counts = _counts(classes)
     level, parts = levels(counts), slices(counts)
-    named = lambda df, x: df.select("gram", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "pos", "near", "mask")))
+    named = lambda df, x: df.select("gram", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "n", "pos", "near", "low", "high")))
     met = named(_fingerprints(classes.where("eval"), level, parts, True), "a").join(named(_fingerprints(classes.where("train"), level, parts, False), "b"), "gram")
     most = budget(F.col("n_a"), F.col("n_b"))
     band = (F.abs(F.col("n_a") - F.col("n_b")) <= most) & (F.abs(F.col("pos_a") - F.col("pos_b")) <= most)
@@ -289,8 +291,9 @@ def class_overlaps(classes: DataFrame) -> DataFrame:
     beside = lambda byte: (both.bitwiseAND(byte) == 0) & (F.col("near_a").bitwiseAND(byte) != 0)
     grows = (F.greatest("n_a", "n_b") < LONG) | beside(0xFF) | beside(0xFF00)
     # each word that only one record has costs an edit
-    lacks = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) <= most
-    alike = (both >= 1 << 16) | (lacks("mask_a", "mask_b") & lacks("mask_b", "mask_a"))
+    extra = lambda x, y: F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y))))
+    lacks = lambda x, y: extra(f"low_{x}", f"low_{y}") + extra(f"high_{x}", f"high_{y}") <= most
+    alike = (both >= 1 << 16) | (lacks("a", "b") & lacks("b", "a"))
     seeds = met.where(band & grows & alike)
     # as many seeds a pair as the records have fingerprints
     pairs = seeds.groupBy("id_a", "id_b").agg(F.collect_set(F.struct(F.col("pos_a").alias("pa"), F.col("pos_b").alias("pb"))).alias("seeds"))

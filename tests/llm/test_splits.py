@@ -97,7 +97,7 @@ def test_chain_and_distance():
 
 def test_common_runs_are_sliced(spark, monkeypatch):
     """Rows of one hot run stand in many slices, and no pair is lost or doubled."""
-    monkeypatch.setattr(m, "RARE", 1)
+    monkeypatch.setattr(m, "HOT", 1)
     hot = "an ka manjé diri la chak jou lè an ni tan pou"
     train = [(i, f"{hot} fè sa {i} {i + 1} {i + 2} {i + 3} {i + 4}", "a", 0) for i in range(60)]
     val = [(1000 + i, f"{hot} fè sa {i} {i + 1} {i + 2} {i + 3} x", "a", 0) for i in range(0, 60, 7)]
